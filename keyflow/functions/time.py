@@ -20,8 +20,12 @@ def epoch_millis(c: Column | str) -> Column:
 
 
 def epoch_micros(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ -> epoch microseconds from its fields (no time zone involved)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
+    day = F.unix_date(F.to_date(c)).cast("long")
+    secs = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long")
+    micros_in_min = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return day * 86_400_000_000 + secs * 1_000_000 + micros_in_min
 
 
 def event_time(c: Column | str) -> Column:

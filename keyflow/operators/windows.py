@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyflow.plans.scan import DEFAULT_ROWS_PER_BUCKET, auto_bucket
+from keyflow.plans.scan import assign_buckets
 from keyflow.plans.time import interval_micros
 
 
@@ -72,7 +72,7 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
              value: str | None = None, order: Sequence[str] = (),
              carry: Sequence[str] = (), total: str = "total", with_avg: bool = False,
              bucket: Column | None = None,
-             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+             rows_per_bucket: int | None = None) -> DataFrame:
     """Session windows: a new session starts when the gap to the previous row
     of the key is *greater* than ``gap`` (rows exactly ``gap`` apart merge).
 
@@ -83,8 +83,10 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
     order = list(order) or [time_col]
     gap_us = interval_micros(gap)
     if bucket is None:
-        bucket = auto_bucket(df, time_col, rows_per_bucket)
-    d = df.withColumn("__b", bucket)
+        d, _ = assign_buckets(df, keys, time_col, rows_per_bucket)
+        d = d.withColumnRenamed("__kf_bucket", "__b")
+    else:
+        d = df.withColumn("__b", bucket)
 
     # 1. sessionize inside each (key, bucket) slice
     w = Window.partitionBy(*keys, "__b").orderBy(time_col, *[o for o in order if o != time_col])

@@ -5,26 +5,30 @@ A running aggregate per key in arrival order is naturally written as
 That puts every row of a key into one task: with a key holding a third of
 all rows, one task sorts a third of the table.
 
-``prefix_scan`` splits each key's ordered rows into *buckets* of the
+``prefix_scan`` splits each *hot* key's ordered rows into buckets of the
 leading order column (a monotone function of arrival order) and computes
 the same result in two levels:
 
 1. in-bucket running value: window over ``(key, bucket)``;
-2. per-bucket totals: ``groupBy(key, bucket)`` (partial aggregation, so
-   map-side combine before the shuffle);
+2. bucket totals: the running value at the last row of each bucket (read
+   off the same window output, so no second scan or aggregation);
 3. exclusive prefix of the totals over the buckets of a key: a window over
-   the *summary* table, whose size is (#keys x #buckets), not #rows;
-4. combine: ``offset (+|least|greatest) in-bucket value``.
+   the *summary* rows, only for keys that span several buckets;
+4. combine: ``offset (+|least|greatest) in-bucket value`` through a
+   broadcast join against the summary, which keeps the window's partitioning.
+
+Hot keys are found with one partial aggregation ``groupBy(keys).agg(count,
+min, max)`` keeping keys with more than ``rows_per_bucket`` rows.  Each hot
+key gets its own bucket width (``span * rows_per_bucket / count``), so it
+is cut into about ``count / rows_per_bucket`` buckets; every other key stays
+in bucket 0 and costs nothing extra.  Hence the summary has at most
+``sum over hot keys of ceil(count / rows_per_bucket)`` rows, a bound that is
+computed (not guessed) before anything is broadcast.
 
 Only associative aggregates are allowed: ``sum``, ``min``, ``max``.  Arg-min
 / arg-max and "value of the first row" are ``min``/``max`` over a struct whose
 leading fields are the comparison value and the order columns (structs
 compare field by field), so they are covered too.
-
-The bucket width is derived from the data (``auto_bucket``): one aggregate
-(min, max, count of the leading order column; parquet can answer it from
-footer statistics) sizes buckets so that no ``(key, bucket)`` holds more
-than ``rows_per_bucket`` rows on evenly spread input.
 """
 
 from __future__ import annotations
@@ -37,10 +41,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyflow.functions.time import epoch_micros
+from keyflow.plans.sizing import BROADCAST_MAX_ROWS
+
 # Upper bound of rows one (key, bucket) task sorts on evenly spread input.
+# Override per session with the conf key below (e.g. tiny values in tests to
+# force many buckets).
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET_CONF = "spark.keyflow.scan.rowsPerBucket"
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+_B = "__kf_bucket"
 
 
 @dataclass(frozen=True)
@@ -70,83 +80,131 @@ def _combine(kind: str, offset: Column, inner: Column) -> Column:
 def as_long(df: DataFrame, col: str) -> Column:
     """Monotone LONG image of an order column (timestamps -> epoch micros).
 
-    TIMESTAMP_NTZ is converted without a time zone, so the mapping is
-    monotone regardless of the session zone.
+    TIMESTAMP_NTZ is converted field by field, without any time zone, so
+    the mapping is monotone whatever the session zone (no DST folds).
     """
     dt = df.schema[col].dataType
+    c = F.col(col)
     if isinstance(dt, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{col}`)")
+        return epoch_micros(c)
     if isinstance(dt, T.TimestampType):
-        return F.unix_micros(F.col(col))
+        return F.unix_micros(c)
     if isinstance(dt, T.DateType):
-        return F.unix_date(F.col(col)).cast("long")
+        return F.unix_date(c).cast("long")
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.col(col).cast("long")
+        return c.cast("long")
     raise TypeError(f"cannot bucket on {col} of type {dt}")
 
 
-def auto_bucket(df: DataFrame, col: str,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> Column:
-    """Bucket column over ``col`` sized from the data (one tiny aggregate)."""
+def resolve_rows_per_bucket(df: DataFrame, rows_per_bucket: int | None) -> int:
+    if rows_per_bucket:
+        return rows_per_bucket
+    conf = df.sparkSession.conf.get(ROWS_PER_BUCKET_CONF, None)
+    return int(conf) if conf else DEFAULT_ROWS_PER_BUCKET
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], rprefix: str) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"{rprefix}{k}"])
+    return cond
+
+
+def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
+                   rows_per_bucket: int | None = None) -> tuple[DataFrame, int]:
+    """Add ``__kf_bucket``: 0 for ordinary keys, time slices for hot keys.
+
+    Returns the frame and a proven upper bound of the number of
+    ``(hot key, bucket)`` pairs.
+    """
+    rpb = resolve_rows_per_bucket(df, rows_per_bucket)
     v = as_long(df, col)
-    row = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"),
-                 F.count(F.lit(1)).alias("n")).first()
-    if row is None or row["n"] == 0 or row["lo"] is None:
-        return F.lit(0).cast("long")
-    n_buckets = max(1, math.ceil(row["n"] / max(1, rows_per_bucket)))
-    width = max(1, math.ceil((row["hi"] - row["lo"] + 1) / n_buckets))
-    return F.floor((v - F.lit(row["lo"])) / F.lit(width)).cast("long")
+    if not keys:
+        row = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"),
+                     F.count(F.lit(1)).alias("n")).first()
+        if row is None or row["n"] <= rpb or row["lo"] is None:
+            return df.withColumn(_B, F.lit(0).cast("long")), 0
+        nb = math.ceil(row["n"] / rpb)
+        width = max(1, math.ceil((row["hi"] - row["lo"] + 1) / nb))
+        return df.withColumn(_B, F.floor((v - F.lit(row["lo"])) / F.lit(width)).cast("long")), nb
+
+    stats = (df.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+             .where(F.col("n") > rpb))
+    nb = F.ceil(F.col("n") / F.lit(rpb))
+    hot = stats.select(*[F.col(k).alias(f"__kf_h_{k}") for k in keys],
+                       F.col("lo").alias("__kf_lo"),
+                       F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / nb))
+                        .cast("long").alias("__kf_w"),
+                       nb.cast("long").alias("__kf_nb"))
+    bound = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("__kf_nb").alias("pairs")).first()
+    n_hot, pairs = bound["keys"] or 0, bound["pairs"] or 0
+    if n_hot == 0:
+        return df.withColumn(_B, F.lit(0).cast("long")), 0
+    side = F.broadcast(hot) if n_hot <= BROADCAST_MAX_ROWS else hot
+    j = df.join(side, _null_safe(df, side, keys, "__kf_h_"), "left")
+    bucket = F.when(F.col("__kf_w").isNull(), F.lit(0).cast("long")).otherwise(
+        F.floor((v - F.col("__kf_lo")) / F.col("__kf_w")).cast("long"))
+    out = j.select(*[df[c] for c in df.columns], bucket.alias(_B))
+    return out, int(pairs)
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 aggs: Sequence[Agg], bucket: Column | None = None,
                 inclusive: bool = True,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                rows_per_bucket: int | None = None) -> DataFrame:
     """Add one column per ``Agg``: its running value per key in ``order``.
 
     ``order`` names the arrival-order columns; together they must be unique
-    within a key.
-    ``bucket`` must be non-decreasing along ``order``; by default it is
-    derived from the first order column.  ``inclusive=False`` gives the value
-    over the rows strictly *before* each row.  Null keys form their own group.
+    within a key.  ``bucket`` (optional) must be non-decreasing along
+    ``order``; by default hot keys are sliced on the first order column.
+    ``inclusive=False`` gives the value over the rows strictly *before* each
+    row.  Null keys form their own group.
     """
-    keys = list(keys)
-    order = list(order)
+    keys, order = list(keys), list(order)
     if bucket is None:
-        bucket = auto_bucket(df, order[0], rows_per_bucket)
-    b = "__kf_bucket"
-    d = df.withColumn(b, bucket)
-
-    upper = 0 if inclusive else -1
-    w_in = (Window.partitionBy(*keys, b).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, upper))
-    running = d.select("*", *[_fn(a.kind)(a.expr).over(w_in).alias(f"__kf_in_{a.name}")
-                              for a in aggs])
-
-    totals = d.groupBy(*keys, b).agg(*[_fn(a.kind)(a.expr).alias(f"__kf_t_{a.name}")
-                                       for a in aggs])
-    w_b = (Window.partitionBy(*keys).orderBy(b)
+        d, pairs = assign_buckets(df, keys, order[0], rows_per_bucket)
+    else:
+        d, pairs = df.withColumn(_B, bucket), None
+
+    w_part = Window.partitionBy(*keys, _B).orderBy(*order)
+    w_inc = w_part.rowsBetween(Window.unboundedPreceding, 0)
+    w_exc = w_part.rowsBetween(Window.unboundedPreceding, -1)
+    cols = [_fn(a.kind)(a.expr).over(w_inc).alias(f"__kf_inc_{a.name}") for a in aggs]
+    if not inclusive:
+        cols += [_fn(a.kind)(a.expr).over(w_exc).alias(f"__kf_exc_{a.name}") for a in aggs]
+    cols.append(F.lead(F.lit(1)).over(w_part).isNull().alias("__kf_last"))
+    running = d.select("*", *cols)
+    mine = "__kf_inc_" if inclusive else "__kf_exc_"
+
+    if pairs == 0:  # nothing was split: the in-bucket value is the answer
+        return running.select(*[running[c] for c in df.columns],
+                              *[F.col(f"{mine}{a.name}").alias(a.name) for a in aggs])
+
+    # bucket totals = inclusive running value at each bucket's last row
+    totals = running.where(F.col("__kf_last")).select(
+        *[F.col(k).alias(f"__kf_o_{k}") for k in keys], F.col(_B).alias("__kf_ob"),
+        *[F.col(f"__kf_inc_{a.name}").alias(f"__kf_t_{a.name}") for a in aggs])
+    w_b = (Window.partitionBy(*[f"__kf_o_{k}" for k in keys]).orderBy("__kf_ob")
            .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(
-        *keys, b, *[_fn(a.kind)(F.col(f"__kf_t_{a.name}")).over(w_b).alias(f"__kf_o_{a.name}")
-                    for a in aggs])
-    # rows whose offsets are all null (the first bucket of each key) change
-    # nothing in the combine: drop them so the summary side only carries keys
-    # that really span several buckets
+        *[f"__kf_o_{k}" for k in keys], "__kf_ob",
+        *[_fn(a.kind)(F.col(f"__kf_t_{a.name}")).over(w_b).alias(f"__kf_off_{a.name}")
+          for a in aggs])
+    # the first bucket of each key has no offset: drop it, so only keys that
+    # span several buckets remain (at most `pairs` rows)
     any_offset = F.lit(False)
     for a in aggs:
-        any_offset = any_offset | F.col(f"__kf_o_{a.name}").isNotNull()
+        any_offset = any_offset | F.col(f"__kf_off_{a.name}").isNotNull()
     offsets = offsets.where(any_offset)
-
-    o = offsets.alias("__kf_o")
-    r = running.alias("__kf_r")
-    cond = [F.col(f"__kf_r.{k}").eqNullSafe(F.col(f"__kf_o.{k}")) for k in keys]
-    cond.append(F.col(f"__kf_r.{b}") == F.col(f"__kf_o.{b}"))
-    joined = r.join(o, on=cond, how="left")
-
-    out = [F.col(f"__kf_r.{c}") for c in df.columns]
-    out += [_combine(a.kind, F.col(f"__kf_o.__kf_o_{a.name}"),
-                     F.col(f"__kf_r.__kf_in_{a.name}")).alias(a.name) for a in aggs]
+    if pairs is not None and pairs <= BROADCAST_MAX_ROWS:
+        offsets = F.broadcast(offsets)
+
+    cond = _null_safe(running, offsets, keys, "__kf_o_") & (running[_B] == offsets["__kf_ob"])
+    joined = running.join(offsets, cond, "left")
+    out = [running[c] for c in df.columns]
+    out += [_combine(a.kind, F.col(f"__kf_off_{a.name}"), F.col(f"{mine}{a.name}")).alias(a.name)
+            for a in aggs]
     return joined.select(*out)
 
 
@@ -162,7 +220,7 @@ def simple_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def row_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 name: str = "rn", bucket: Column | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                rows_per_bucket: int | None = None) -> DataFrame:
     """1-based arrival ordinal per key (``row_number``), hot-key safe."""
     return prefix_scan(df, keys, order, [Agg(name, "sum", F.lit(1).cast("long"))],
                        bucket=bucket, rows_per_bucket=rows_per_bucket)
