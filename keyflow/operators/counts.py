@@ -20,7 +20,7 @@ from keyflow.plans.scan import Agg, prefix_scan, row_ordinal
 
 
 def _first(order: Sequence[str], carry: Sequence[str]) -> Column:
-    return F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
+    return F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)],
                     *[F.col(c) for c in carry])
 
 

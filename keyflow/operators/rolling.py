@@ -18,7 +18,7 @@ from keyflow.plans.scan import Agg, as_long, prefix_scan
 
 def _first_struct(order: Sequence[str], carry: Sequence[str]) -> Column:
     """Struct whose minimum is the key's first row (ordered by ``order``)."""
-    return F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
+    return F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)],
                     *[F.col(c) for c in carry])
 
 
@@ -48,10 +48,10 @@ def rolling_by(df: DataFrame, key: str, value: str, order: Sequence[str],
     ``at_<order>`` of the triggering row, then the held record's fields.
     """
     if kind == "min":
-        cmp = [F.col(value).alias("v")] + [as_long(df, o).alias(f"o{i}")
+        cmp = [F.col(value).alias("__v")] + [as_long(df, o).alias(f"__o{i}")
                                            for i, o in enumerate(order)]
     else:
-        cmp = [F.col(value).alias("v")] + [(-as_long(df, o)).alias(f"o{i}")
+        cmp = [F.col(value).alias("__v")] + [(-as_long(df, o)).alias(f"__o{i}")
                                            for i, o in enumerate(order)]
     s = F.struct(*cmp, *[F.col(c) for c in record])
     r = prefix_scan(df, [key], order, [Agg("__held", kind, s)], **scan_opts)
