@@ -180,3 +180,93 @@ def test_tuple_text_query_sink(spark, scratch):
     lines = spark.read.text(out).collect()
     assert len(lines) == len(timed)
     assert all(r.value.startswith("(") and r.value.endswith(")") for r in lines)
+
+
+def _with_sentinel(pdf: pd.DataFrame, **over) -> pd.DataFrame:
+    row = {c: pdf[c].iloc[0] for c in pdf.columns}
+    row.update({"event_id": 10**9, "ts": pd.Timestamp("2030-01-01")}, **over)
+    return pd.DataFrame([row]).astype(pdf.dtypes.to_dict())
+
+
+def _naive(df: pd.DataFrame) -> pd.DataFrame:
+    for c in df.columns:
+        if hasattr(df[c], "dt") and getattr(df[c].dt, "tz", None) is not None:
+            df[c] = df[c].dt.tz_localize(None)
+    return df
+
+
+def test_global_sessions_stream_equal_batch(spark, scratch):
+    like = S.timed(spark, SF_SMALL)
+    timed = like.orderBy("event_id").toPandas()
+    src = os.path.join(scratch, "timed")
+    _split_files(timed, src, 3)
+    _split_files(_with_sentinel(timed, num=0), src, 1, start=3)
+    st = _stream(spark, src, like.schema)
+    out = os.path.join(scratch, "out")
+    _run(SW.stream_sessions(st, "ts", "10 minutes", value="num"), out, out + "-ck")
+    got = _naive(spark.read.parquet(out).toPandas())
+    want = W.sessions(like, "ts", "10 minutes", value="num").toPandas()
+    assert same(got, want)
+
+
+def test_chained_top_website_stream_equals_batch(spark, scratch):
+    like = S.clicks(spark, SF_SMALL).where(F.col("country") == "US")
+    clicks = like.orderBy("event_id").toPandas()
+    src = os.path.join(scratch, "clicks")
+    _split_files(clicks, src, 3)
+    _split_files(_with_sentinel(clicks), src, 1, start=3)
+    st = _stream(spark, src, like.schema)
+    # the sentinel's own window never closes, so it is never emitted
+    counts = SW.stream_clicks_per_key(st, "website", "ts", "1 hour")
+    q = (SW.stream_top_key(counts, "website", "1 hour", "max").writeStream.format("memory")
+         .queryName("top_site").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = _naive(spark.sql("SELECT * FROM top_site").toPandas())
+    want = W.extreme_key(W.clicks_per_key(like, "website", "ts", "1 hour"), "max",
+                         size="1 hour").toPandas()
+    assert same(got, want)
+
+
+def test_rolling_update_final_state_equals_batch(spark, scratch):
+    like = S.sales(spark, SF_SMALL)
+    sales = like.orderBy("event_id").toPandas()
+    src = os.path.join(scratch, "sales")
+    _split_files(sales, src, 3)
+    st = _stream(spark, src, like.schema)
+    from keyflow.streaming.rolling import distinct_count_update, rolling_update
+    q = (rolling_update(st, "category", "profit", "sum").writeStream.format("memory")
+         .queryName("roll_sum").outputMode("complete").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("SELECT * FROM roll_sum").toPandas()
+    want = like.groupBy("category").agg(F.sum("profit").alias("sum_profit")).toPandas()
+    assert same(got, want)
+    q = (distinct_count_update(st, "category", "product").writeStream.format("memory")
+         .queryName("roll_distinct").outputMode("complete").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("SELECT * FROM roll_distinct").toPandas()
+    want = like.groupBy("category").agg(
+        F.count_distinct("product").alias("distinct_count")).toPandas()
+    assert same(got, want)
+
+
+def test_buffered_sink_groups(spark, scratch):
+    like = S.numbers(spark, SF_SMALL)
+    nums = like.orderBy("event_id").toPandas()
+    src = os.path.join(scratch, "nums")
+    _split_files(nums, src, 2)
+    st = _stream(spark, src, like.schema)
+    out = os.path.join(scratch, "groups")
+
+    def write_group(df, epoch_id):
+        (df.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"))
+           .write.mode("overwrite").parquet(os.path.join(out, f"epoch={epoch_id}")))
+
+    q = (st.writeStream.foreachBatch(SK.buffered_sink(7, write_group, ["ts", "event_id"]))
+         .option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    g = spark.read.parquet(out).toPandas()
+    assert g["rows"].sum() == len(nums)
+    assert (g["rows"] <= 7).all()
+    # only the last group of each micro-batch may be partial
+    assert (g.groupby("epoch")["rows"].apply(lambda r: (r < 7).sum()) <= 1).all()
