@@ -40,3 +40,15 @@ def event_time(c: Column | str) -> Column:
 def with_ingest_time(df: DataFrame, name: str = "ingest_ts") -> DataFrame:
     """Processing-time column (constant within a micro-batch / query)."""
     return df.withColumn(name, F.current_timestamp())
+
+
+# English month names, as the record layouts write them.
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
+               "August", "September", "October", "November", "December"]
+
+
+def month_name(c: Column | str) -> Column:
+    """Full English month name from integer field extraction (no formatter)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.month(c))
+

@@ -22,10 +22,12 @@ class IterationLimitError(RuntimeError):
 
 def iterate(df: DataFrame, step: Callable[[DataFrame], DataFrame],
             done: Callable[[DataFrame], Column], max_iter: int,
-            checkpoint_every: int = 1) -> DataFrame:
+            rounds_per_job: int = 4) -> DataFrame:
     """Apply ``step`` until every row satisfies ``done``; return the finished rows.
 
-    Rows that are done before any step leave unchanged.  Raises
+    Rows that are done before any step leave unchanged.  ``rounds_per_job``
+    rounds are unrolled into one plan between lineage cuts, so a loop of k
+    rounds costs about k / rounds_per_job materializations.  Raises
     ``IterationLimitError`` if rows are still live after ``max_iter`` rounds
     (a start value that never reaches the exit condition).
     """
@@ -33,16 +35,20 @@ def iterate(df: DataFrame, step: Callable[[DataFrame], DataFrame],
     checkpoint_dir(spark)
     finished: list[DataFrame] = []
     live = df
-    for i in range(max_iter + 1):
-        finished.append(live.where(done(live)))
-        live = live.where(~done(live))
-        if i % checkpoint_every == 0:
-            live = live.checkpoint(eager=True)
+    steps = 0
+    while True:
+        for _ in range(rounds_per_job):
+            finished.append(live.where(done(live)))
+            live = live.where(~done(live))
+            if steps == max_iter:
+                break
+            live = step(live)
+            steps += 1
+        live = live.checkpoint(eager=True)
         if live.isEmpty():
             break
-        if i == max_iter:
+        if steps == max_iter:
             raise IterationLimitError(f"rows still live after {max_iter} rounds")
-        live = step(live)
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)

@@ -18,7 +18,8 @@ the same result in two levels:
    broadcast join against the summary, which keeps the window's partitioning.
 
 Hot keys are found with one partial aggregation ``groupBy(keys).agg(count,
-min, max)`` keeping keys with more than ``rows_per_bucket`` rows.  Each hot
+min, max)`` keeping keys with more than ``rows_per_bucket`` rows; that small
+table is materialized once (reliable checkpoint) and reused.  Each hot
 key gets its own bucket width (``span * rows_per_bucket / count``), so it
 is cut into about ``count / rows_per_bucket`` buckets; every other key stays
 in bucket 0 and costs nothing extra.  Hence the summary has at most
@@ -43,6 +44,7 @@ from pyspark.sql import types as T
 
 from keyflow.functions.time import epoch_micros
 from keyflow.plans.sizing import BROADCAST_MAX_ROWS
+from keyflow.session import checkpoint_dir
 
 # Upper bound of rows one (key, bucket) task sorts on evenly spread input.
 # Override per session with the conf key below (e.g. tiny values in tests to
@@ -137,6 +139,11 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
                        F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / nb))
                         .cast("long").alias("__kf_w"),
                        nb.cast("long").alias("__kf_nb"))
+    # materialize the (small) hot-key table once in the shared checkpoint
+    # folder: its size is checked from it and the main plan reads it back
+    # instead of aggregating the input a second time
+    checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint(eager=True)
     bound = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("__kf_nb").alias("pairs")).first()
     n_hot, pairs = bound["keys"] or 0, bound["pairs"] or 0
     if n_hot == 0:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyflow.functions.time import month_name
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,7 +29,7 @@ def profit(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.date_format("l_shipdate", "dd-MM-yyyy").alias("date"),
-        F.date_format("l_shipdate", "MMMM").alias("month"),
+        month_name("l_shipdate").alias("month"),
         F.col("l_returnflag").alias("category"),
         F.col("l_linestatus").alias("product"),
         cents("l_extendedprice").cast("int").alias("profit"),
@@ -43,7 +45,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
         "event_id", "ts",
-        F.date_format("ts", "MMMM").alias("month"),
+        month_name("ts").alias("month"),
         F.col("event_type").alias("category"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("product"),
         cents("value").cast("int").alias("profit"),
