@@ -68,15 +68,16 @@ def running_sum_count(df: DataFrame, key: str, value: str, order: Sequence[str],
     return r.withColumn("running_avg", F.col("running_sum") / F.col("running_count"))
 
 
-def first_seen(df: DataFrame, key: str, item: str, order: Sequence[str]) -> Column:
-    """Flag column: is this row the first of its ``(key, item)`` pair?
+def first_seen(df: DataFrame, key: str, item: str, order: Sequence[str],
+               out: str = "__new", **scan_opts) -> DataFrame:
+    """Add flag ``out``: 1 if this row is the first of its ``(key, item)`` pair.
 
-    A min over an un-ordered window partition (no sort), then a comparison.
-    The partition is per (key, item) pair, so hot keys spread out.
+    The pair's arrival ordinal comes from the hot-key safe prefix scan, so a
+    single pair holding a large share of the rows is still spread out.
     """
-    from pyspark.sql import Window
-    me = F.struct(*[F.col(o) for o in order])
-    return (me == F.min(me).over(Window.partitionBy(key, item))).cast("long")
+    r = prefix_scan(df, [key, item], order, [Agg("__pair_rn", "sum", F.lit(1).cast("long"))],
+                    **scan_opts)
+    return r.withColumn(out, (F.col("__pair_rn") == 1).cast("long")).drop("__pair_rn")
 
 
 def running_distinct(df: DataFrame, key: str, item: str, order: Sequence[str],
@@ -86,6 +87,6 @@ def running_distinct(df: DataFrame, key: str, item: str, order: Sequence[str],
     Linear: first-seen flag, then a running sum; no set is held in memory
     (the reference keeps every row of the key in list state).
     """
-    flagged = df.withColumn("__new", first_seen(df, key, item, order))
+    flagged = first_seen(df, key, item, order, **scan_opts)
     r = prefix_scan(flagged, [key], order, [Agg(out, "sum", F.col("__new"))], **scan_opts)
     return r.select(key, *order, item, out)
