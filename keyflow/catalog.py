@@ -104,14 +104,20 @@ def q_filter_trips(spark, d):
     return FL.ongoing_with_dropoff(S.trips(spark, d))
 
 
+def parsed_integers(spark, d) -> DataFrame:
+    """Integer lines (one number per line) parsed back into ``n``."""
+    lines = S.to_lines(S.integers(spark, d), ["n"], keep=["event_id"])
+    return P.parse_int(lines, keep=["event_id"])
+
+
 @query("split_even")
 def q_split_even(spark, d):
-    return FL.split_by(S.integers(spark, d), FL.parity("n"))["even"]
+    return FL.split_by(parsed_integers(spark, d), FL.parity("n"))["even"]
 
 
 @query("split_odd")
 def q_split_odd(spark, d):
-    return FL.split_by(S.integers(spark, d), FL.parity("n"))["odd"]
+    return FL.split_by(parsed_integers(spark, d), FL.parity("n"))["odd"]
 
 
 # --- rolling keyed aggregates (positional sum/min/max, minBy/maxBy) -----------
@@ -269,20 +275,27 @@ def q_count_evictor(spark, d):
                            keep=4, carry=SALES_CARRY)
 
 
+def keyed_numbers(spark, d) -> DataFrame:
+    """``key,number`` lines (the keyed-state jobs' input) parsed back, with the
+    arrival order carried next to each line."""
+    lines = S.to_lines(S.numbers(spark, d), ["key", "num"], keep=SALES_ORDER)
+    return P.parse_keyed(lines, keep=SALES_ORDER)
+
+
 @query("count10_sum")
 def q_count10_sum(spark, d):
-    return C.count_windows(S.numbers(spark, d), "key", "num", SALES_ORDER, size=10)
+    return C.count_windows(keyed_numbers(spark, d), "key", "num", SALES_ORDER, size=10)
 
 
 @query("count10_list")
 def q_count10_list(spark, d):
-    return C.count_windows(S.numbers(spark, d), "key", "num", SALES_ORDER, size=10,
+    return C.count_windows(keyed_numbers(spark, d), "key", "num", SALES_ORDER, size=10,
                            reducers=(), as_text=True)
 
 
 @query("count10_reduce")
 def q_count10_reduce(spark, d):
-    return C.count_windows(S.numbers(spark, d), "key", "num", SALES_ORDER, size=10,
+    return C.count_windows(keyed_numbers(spark, d), "key", "num", SALES_ORDER, size=10,
                            reducers=("sum", "max"))
 
 

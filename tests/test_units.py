@@ -143,3 +143,40 @@ def test_iterate_raises_when_rows_never_leave(spark):
     with pytest.raises(IterationLimitError):
         iterate(start, lambda d: d.select((F.col("v") + 1).alias("v"), "n"),
                 lambda d: F.col("v") == 10, max_iter=3)
+
+
+def test_parse_employee_fields(spark):
+    df = spark.createDataFrame([("7,a,b,Sales",)], "value string")
+    r = P.parse_employee(df).first()
+    assert (r.id, r.department, r.line) == ("7", "Sales", "7,a,b,Sales")
+
+
+def test_text_sink_rolls_files_by_records(spark, scratch):
+    import os
+    from keyflow.streaming.sinks import write_text
+    df = spark.range(25).select(F.col("id"), (F.col("id") * 2).alias("x")).coalesce(1)
+    out = os.path.join(scratch, "rolled")
+    write_text(df, out, max_records_per_file=10)
+    files = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(files) == 3
+    lines = sorted(r.value for r in spark.read.text(out).collect())
+    assert len(lines) == 25 and "(3,6)" in lines
+
+
+def test_processing_time_window_smoke(spark, scratch):
+    import os
+    from keyflow.functions.time import with_ingest_time
+    from keyflow.streaming.windows import stream_window_reduce
+    src = os.path.join(scratch, "in")
+    spark.range(20).select(F.col("id").alias("event_id"),
+                           F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts"),
+                           F.col("id").alias("num")).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    st = spark.readStream.schema(schema).parquet(src)
+    q = (stream_window_reduce(st, "ts", "1 hour", value="num", processing_time=True)
+         .writeStream.format("memory").queryName("ingest_windows").outputMode("update")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("SELECT sum(total) AS s, sum(n) AS n FROM ingest_windows").first()
+    assert (got.s, got.n) == (190, 20)
+    assert "ingest_ts" in with_ingest_time(st).columns
