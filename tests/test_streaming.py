@@ -270,3 +270,34 @@ def test_buffered_sink_groups(spark, scratch):
     assert (g["rows"] <= 7).all()
     # only the last group of each micro-batch may be partial
     assert (g.groupby("epoch")["rows"].apply(lambda r: (r < 7).sum()) <= 1).all()
+
+
+def test_live_exclusion_rules_change_between_batches(spark, scratch):
+    from keyflow.streaming.exclude import exclude_running_count_live
+    like = S.employees(spark, SF_SMALL)
+    emp = like.orderBy("id").toPandas()
+    src, rules_dir = os.path.join(scratch, "emp"), os.path.join(scratch, "rules")
+    first, second = emp.iloc[:75], emp.iloc[75:]
+    _split_files(first, src, 1, start=0)
+    # batch 0 sees rule for ids 3 and 100; id 120 is ruled out only from batch 1 on
+    spark.createDataFrame([(3,), (100,)], "id long").write.mode("overwrite").parquet(
+        os.path.join(rules_dir, "r0"))
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def load_rules(s):
+        return s.read.parquet(os.path.join(rules_dir, "*"))
+
+    def run():
+        st = _stream(spark, src, like.schema)
+        exclude_running_count_live(st, load_rules, "department", ["id"], out, "live_excl",
+                                   checkpoint=ck, available_now=True).awaitTermination()
+
+    run()
+    spark.createDataFrame([(120,), (70,)], "id long").write.parquet(os.path.join(rules_dir, "r1"))
+    _split_files(second, src, 1, start=1)
+    run()
+    got = spark.read.parquet(out).drop("epoch")
+    rules_all = spark.createDataFrame([(3,), (100,), (120,)], "id long")
+    # 70 arrived in batch 0, before its rule: it stays counted
+    want = X.running_count(X.exclude(like, rules_all), "department", ["id"])
+    assert same(got.toPandas(), want.toPandas())
