@@ -9,9 +9,11 @@ struct led by the arrival order, deterministic after any shuffle (unlike
 Tumbling and sliding windows aggregate partially per task, so neither a hot
 key nor a global (un-keyed) window funnels rows into one task.  Session
 windows need care: ``groupBy(key, session_window(...))`` sends all rows of a
-key to one task.  ``sessions`` instead sessionizes inside (key, time bucket)
-slices in parallel and stitches only the first and last session of each
-slice (at most two rows per slice meet in the stitching window).
+key to one task.  ``sessions`` instead cuts hot keys (more rows than one
+task should sort; see ``keyflow.plans.scan.assign_buckets``) into time
+slices, sessionizes inside each (key, slice) in parallel and stitches only
+the first and last session of each slice: at most two rows per slice meet
+in the stitching window.
 """
 
 from __future__ import annotations
