@@ -19,7 +19,8 @@ the same result in two levels:
 
 Hot keys are found with one partial aggregation ``groupBy(keys).agg(count,
 min, max)`` keeping keys with more than ``rows_per_bucket`` rows; that small
-table is materialized once (reliable checkpoint) and reused.  Each hot
+table is computed once and broadcast (or, past the broadcast bound,
+materialized in the shared checkpoint folder and shuffle-joined).  Each hot
 key gets its own bucket width (``span * rows_per_bucket / count``), so it
 is cut into about ``count / rows_per_bucket`` buckets; every other key stays
 in bucket 0 and costs nothing extra.  Hence the summary has at most
@@ -139,16 +140,21 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
                        F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / nb))
                         .cast("long").alias("__kf_w"),
                        nb.cast("long").alias("__kf_nb"))
-    # materialize the (small) hot-key table once in the shared checkpoint
-    # folder: its size is checked from it and the main plan reads it back
-    # instead of aggregating the input a second time
-    checkpoint_dir(df.sparkSession)
-    hot = hot.checkpoint(eager=True)
-    bound = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("__kf_nb").alias("pairs")).first()
-    n_hot, pairs = bound["keys"] or 0, bound["pairs"] or 0
-    if n_hot == 0:
+    # The hot-key table is at most n / rows_per_bucket rows.  Up to the
+    # broadcast bound it is fetched once (a broadcast build side passes
+    # through the driver anyway) and broadcast; beyond it, it is materialized
+    # in the shared checkpoint folder and joined without a broadcast.
+    spark = df.sparkSession
+    rows = hot.limit(BROADCAST_MAX_ROWS + 1).collect()
+    if not rows:
         return df.withColumn(_B, F.lit(0).cast("long")), 0
-    side = F.broadcast(hot) if n_hot <= BROADCAST_MAX_ROWS else hot
+    if len(rows) <= BROADCAST_MAX_ROWS:
+        side = F.broadcast(spark.createDataFrame(rows, schema=hot.schema))
+        pairs = sum(r["__kf_nb"] for r in rows)
+    else:
+        checkpoint_dir(spark)
+        side = hot.checkpoint(eager=True)
+        pairs = side.agg(F.sum("__kf_nb")).first()[0]
     j = df.join(side, _null_safe(df, side, keys, "__kf_h_"), "left")
     bucket = F.when(F.col("__kf_w").isNull(), F.lit(0).cast("long")).otherwise(
         F.floor((v - F.col("__kf_lo")) / F.col("__kf_w")).cast("long"))
