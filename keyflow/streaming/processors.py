@@ -9,7 +9,8 @@ processor keeps only bounded state per key:
                        most ``size - 1`` short strings);
 * ``CountTrigger``     ordinal, running total, the first row's carry fields;
 * ``CountEvictor``     ordinal and the last ``keep`` rows;
-* ``RunningCount``     one counter.
+* ``RunningCount``     one counter;
+* ``RollingReduce``    the running value and the held / first record.
 
 Rows of one key reach ``handleInputRows`` as an iterator of pandas frames in
 no particular order; every processor concatenates them and sorts by the
@@ -223,6 +224,72 @@ class RunningCount(StatefulProcessor):
         pass
 
 
+class RollingReduce(StatefulProcessor):
+    """Per-record rolling aggregate per key (exact, one output row per input).
+
+    ``kind`` sum / min / max keep the key's first-row ``carry`` fields;
+    ``min_by`` / ``max_by`` emit the whole held record (ties keep the
+    earliest).  State: the running value (and the held record or first-row
+    fields).
+    """
+
+    def __init__(self, key_names: Sequence[str], value: str, order: Sequence[str], kind: str,
+                 carry: Sequence[str] = (), carry_ddl: str = ""):
+        self.key_names, self.value, self.order = list(key_names), value, list(order)
+        self.kind, self.carry, self.carry_ddl = kind, list(carry), carry_ddl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", "v LONG")
+        if self.carry:
+            self.rec = handle.getValueState("rec", self.carry_ddl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _collect(rows, self.order)
+        if df.empty:
+            return
+        v = df[self.value].astype("int64").to_numpy()
+        have = self.acc.exists()
+        prev = self.acc.get()[0] if have else None
+        idx = np.arange(len(v))
+        res = _key_frame(self.key_names, key, len(v))
+        for o in self.order:
+            res[f"at_{o}" if self.kind.endswith("_by") else o] = df[o].to_numpy()
+        if self.kind in ("sum", "min", "max"):
+            op = {"sum": np.add, "min": np.minimum, "max": np.maximum}[self.kind]
+            run = op.accumulate(v)
+            if have:
+                run = op(run, prev) if self.kind != "sum" else run + prev
+            if self.carry:
+                first = tuple(self.rec.get()) if have else tuple(df.loc[0, c] for c in self.carry)
+                if not have:
+                    self.rec.update(first)
+                for i, c in enumerate(self.carry):
+                    res[c] = [first[i]] * len(v)
+            res[f"{self.kind}_{self.value}"] = run
+            self.acc.update((int(run[-1]),))
+        else:
+            better = np.less if self.kind == "min_by" else np.greater
+            ext = np.minimum if self.kind == "min_by" else np.maximum
+            best_before = ext.accumulate(v)
+            best_before = np.concatenate([[prev if have else v[0]], best_before[:-1]])
+            if have:
+                best_before = ext(best_before, prev)
+            takes = better(v, best_before) | ((idx == 0) & (not have))
+            held = np.maximum.accumulate(np.where(takes, idx, -1))
+            old = tuple(self.rec.get()) if have else None
+            for i, c in enumerate(self.carry):
+                col = df[c].to_numpy()
+                res[c] = [col[h] if h >= 0 else old[i] for h in held]
+            last = held[-1]
+            if last >= 0:
+                self.acc.update((int(v[last]),))
+                self.rec.update(tuple(df.loc[int(last), c] for c in self.carry))
+        yield pd.DataFrame(res)
+
+    def close(self) -> None:
+        pass
+
+
 # --- DataFrame-level wrappers ---------------------------------------------------
 
 def _ddl(df: DataFrame, cols: Sequence[str]) -> str:
@@ -268,3 +335,20 @@ def running_count_stream(df: DataFrame, key: str, order: Sequence[str],
     extra = [df.schema[o] for o in order] + [T.StructField(out, T.LongType())]
     return df.groupBy(key).transformWithStateInPandas(
         RunningCount([key], order, out), _schema(df, [key], extra), "append", "None")
+
+
+def rolling_stream(df: DataFrame, key: str, value: str, order: Sequence[str], kind: str,
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """Per-record rolling sum / min / max (with first-row ``carry``) or
+    min_by / max_by (``carry`` = the record fields to hold, without the key)."""
+    if key in carry:
+        raise ValueError("carry must not repeat the key column")
+    if kind in ("sum", "min", "max"):
+        extra = [df.schema[o] for o in order] + [df.schema[c] for c in carry] + [
+            T.StructField(f"{kind}_{value}", T.LongType())]
+    else:
+        extra = [T.StructField(f"at_{o}", df.schema[o].dataType) for o in order] + [
+            df.schema[c] for c in carry]
+    proc = RollingReduce([key], value, order, kind, carry, _ddl(df, carry))
+    return df.groupBy(key).transformWithStateInPandas(
+        proc, _schema(df, [key], extra), "append", "None")

@@ -301,3 +301,25 @@ def test_live_exclusion_rules_change_between_batches(spark, scratch):
     # 70 arrived in batch 0, before its rule: it stays counted
     want = X.running_count(X.exclude(like, rules_all), "department", ["id"])
     assert same(got.toPandas(), want.toPandas())
+
+
+@pytest.mark.parametrize("kind", ["sum", "min", "max", "min_by", "max_by"])
+def test_per_record_rolling_stream_equals_batch(spark, scratch, kind):
+    from keyflow.operators import rolling as R
+    like = S.sales(spark, SF_SMALL).withColumn("profit", F.col("profit").cast("long"))
+    sales = like.orderBy("event_id").toPandas()
+    src = os.path.join(scratch, "sales")
+    _split_files(sales, src, 3)
+    st = _stream(spark, src, like.schema)
+    out = os.path.join(scratch, "out")
+    order = ["ts", "event_id"]
+    if kind.endswith("_by"):
+        record = ["event_id", "ts", "product", "profit"]
+        s = SP.rolling_stream(st, "category", "profit", order, kind, carry=record)
+        want = R.rolling_by(like, "category", "profit", order, record, kind[:3])
+    else:
+        s = SP.rolling_stream(st, "category", "profit", order, kind, carry=["product"])
+        want = R.rolling_reduce(like, "category", "profit", kind, order, carry=["product"])
+    _run(s, out, out + "-ck")
+    got = spark.read.parquet(out).toPandas()
+    assert same(got, want.toPandas())
