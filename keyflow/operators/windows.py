@@ -85,10 +85,10 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
     order = list(order) or [time_col]
     gap_us = interval_micros(gap)
     if bucket is None:
-        d, _ = assign_buckets(df, keys, time_col, rows_per_bucket)
+        d, pairs = assign_buckets(df, keys, time_col, rows_per_bucket)
         d = d.withColumnRenamed("__kf_bucket", "__b")
     else:
-        d = df.withColumn("__b", bucket)
+        d, pairs = df.withColumn("__b", bucket), None
 
     # 1. sessionize inside each (key, bucket) slice
     w = Window.partitionBy(*keys, "__b").orderBy(time_col, *[o for o in order if o != time_col])
@@ -99,6 +99,11 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
     aggs = [F.min(time_col).alias("__start"), F.max(time_col).alias("__last")]
     aggs += _reduce_aggs(value, order, carry, total)
     local = d.groupBy(*keys, "__b", "__sid").agg(*aggs)
+    if pairs == 0:
+        # no key was sliced: every key is one slice, its sessions are final
+        local = local.withColumn("__end", F.col("__last") + F.expr(
+            f"INTERVAL {gap_us} MICROSECONDS"))
+        return _finish(local, keys, "__start", "__end", carry, value, total, with_avg)
 
     # 2. only the first and last session of a slice can touch another slice
     sw = Window.partitionBy(*keys, "__b")

@@ -53,3 +53,28 @@ def test_sessions_equal_session_window(spark, skewed, keys, rpb):
                                    order=["ts", "id"], carry=["id"]).toPandas()
     assert len(got) == len(want)
     assert same(got, want)
+
+
+def test_hot_key_is_spread_over_slices(spark, skewed):
+    from keyflow.plans.scan import assign_buckets
+    d, pairs = assign_buckets(skewed, ["k"], "ts", rows_per_bucket=100)
+    sizes = d.groupBy("k", "__kf_bucket").count().toPandas()
+    hot = sizes[sizes["k"] == "hot"]
+    assert len(hot) >= 8 and pairs >= len(hot)
+    assert hot["count"].max() <= 2 * 100
+    # keys with at most rows_per_bucket rows are never split
+    per_key = sizes.groupby("k", dropna=False)["count"].transform("sum")
+    assert (sizes.loc[per_key <= 100, "__kf_bucket"] == 0).all()
+
+
+def test_website_metrics_sketch_close_to_exact(spark):
+    from conftest import SF_SMALL
+    from keyflow import sources as S
+    from keyflow.operators import aggregates as AG
+    c = S.clicks(spark, SF_SMALL)
+    approx = {r.website: r for r in AG.website_metrics_sketch(c).collect()}
+    exact = {r.website: r for r in AG.website_metrics(c).collect()}
+    assert approx.keys() == exact.keys()
+    for w, e in exact.items():
+        assert approx[w].clicks == e.clicks and approx[w].total_time == e.total_time
+        assert abs(approx[w].distinct_users_approx - e.distinct_users) <= max(1, 0.05 * e.distinct_users)
