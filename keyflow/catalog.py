@@ -361,6 +361,12 @@ def q_drop_late(spark, d):
                                 LATE_WINDOW, LATE_BOUND, "num")
 
 
+@query("session_drop_late")
+def q_session_drop_late(spark, d):
+    return L.sessions_drop_late(disordered(spark, d), "ts", ["arrival", "event_id"],
+                                SESSION_GAP, LATE_BOUND, "num")
+
+
 # --- exclusion joins -----------------------------------------------------------
 
 @query("exclude_running_count")

@@ -40,3 +40,26 @@ def tumbling_drop_late(df: DataFrame, time_col: str, arrival: Sequence[str], siz
         F.sum(value).cast("long").alias("total"), F.count(F.lit(1)).alias("n"))
     return g.select(F.col("__w.start").alias("window_start"),
                     F.col("__w.end").alias("window_end"), "total", "n")
+
+
+def late_rows(df: DataFrame, time_col: str, arrival: Sequence[str], bound: str,
+              **scan_opts) -> DataFrame:
+    """Flag rows older than the watermark at their arrival (``late``): the rule a
+    streaming stateful operator (session windows, de-duplication) drops by."""
+    r = prefix_scan(df, [], list(arrival), [Agg("__maxts", "max", F.col(time_col))],
+                    inclusive=False, **scan_opts)
+    wm = F.col("__maxts") - F.expr(f"INTERVAL {interval_micros(bound)} MICROSECONDS")
+    return (r.withColumn("watermark", wm)
+             .withColumn("late", F.coalesce(F.col(time_col) < F.col("watermark"), F.lit(False)))
+             .drop("__maxts"))
+
+
+def sessions_drop_late(df: DataFrame, time_col: str, arrival: Sequence[str], gap: str,
+                       bound: str, value: str, keys: Sequence[str] = (),
+                       **scan_opts) -> DataFrame:
+    """Session windows over the rows that are not late under ``bound`` (the
+    bounded out-of-orderness session job, replayed deterministically)."""
+    from keyflow.operators.windows import sessions
+    on_time = late_rows(df, time_col, arrival, bound, **scan_opts).where(~F.col("late"))
+    return sessions(on_time.drop("late", "watermark"), time_col, gap, keys=keys,
+                    value=value)

@@ -128,6 +128,17 @@ def _late_base(bound: str) -> str:
         FROM ({TIMED})))"""
 
 
+def _late_rows(bound: str) -> str:
+    from keyflow.catalog import ARRIVAL_SPREAD_S
+    b = _us(bound)
+    return f"""SELECT event_id, ts, num FROM (
+  SELECT *, max(epoch_us(ts)) OVER (ORDER BY arrival, event_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {b} AS wm_us
+  FROM (SELECT *, ts + to_seconds((event_id * 7919) % {ARRIVAL_SPREAD_S}) AS arrival
+        FROM ({TIMED})))
+  WHERE wm_us IS NULL OR epoch_us(ts) >= wm_us"""
+
+
 def oracle_sql() -> dict[str, str]:
     from keyflow import catalog as Q
 
@@ -231,6 +242,7 @@ def oracle_sql() -> dict[str, str]:
         "late_flag": f"SELECT event_id, ts, arrival, watermark, late FROM ({late})",
         "tumbling_drop_late": _tumbling(f"SELECT * FROM ({late}) WHERE NOT late", Q.LATE_WINDOW,
                                         "", NUM_BODY),
+        "session_drop_late": _sessions(_late_rows(Q.LATE_BOUND), Q.SESSION_GAP, "", NUM_BODY),
         "exclude_running_count": _exclude_running("r.id = e.id"),
         "exclude_total": f"""SELECT department, count(*) AS count FROM ({EMPLOYEES}) e
             WHERE NOT EXISTS (SELECT 1 FROM ({RULES}) r WHERE r.id = e.id) GROUP BY department""",
