@@ -46,8 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and lineage cuts.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder
-    and is used as is.  Only when it is unset (local tests) a scratch folder
-    is created and registered.
+    and is used as is (it is required there).  Only in local mode, when it is
+    unset (tests), a scratch folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -58,6 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors "
+                             "(a machine-local folder does not survive a lost executor)")
         d = tempfile.mkdtemp(prefix="keyflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)
