@@ -78,3 +78,22 @@ def test_website_metrics_sketch_close_to_exact(spark):
     for w, e in exact.items():
         assert approx[w].clicks == e.clicks and approx[w].total_time == e.total_time
         assert abs(approx[w].distinct_users_approx - e.distinct_users) <= max(1, 0.05 * e.distinct_users)
+
+
+def test_prefix_scan_random_shapes(spark):
+    """Random key skew, bucket sizes and aggregate kinds (fixed seeds)."""
+    import pandas as pd
+    for seed in range(3):
+        rnd = random.Random(100 + seed)
+        n = rnd.randint(200, 800)
+        hot_share = rnd.choice([0.0, 0.3, 0.9])
+        keys = [("h" if rnd.random() < hot_share else f"c{rnd.randint(0, 9)}") for _ in range(n)]
+        pdf = pd.DataFrame({"k": keys, "id": range(n),
+                            "x": [rnd.randint(-9, 9) for _ in range(n)]})
+        df = spark.createDataFrame(pdf)
+        kind = rnd.choice(["sum", "min", "max"])
+        aggs = [Agg("r", kind, F.col("x"))]
+        got = prefix_scan(df, ["k"], ["id"], aggs, rows_per_bucket=rnd.randint(3, 60),
+                          inclusive=bool(seed % 2)).toPandas()
+        want = simple_scan(df, ["k"], ["id"], aggs, inclusive=bool(seed % 2)).toPandas()
+        assert same(got, want), (seed, kind)
