@@ -129,7 +129,9 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
             return df.withColumn(_B, F.lit(0).cast("long")), 0
         nb = math.ceil(row["n"] / rpb)
         width = max(1, math.ceil((row["hi"] - row["lo"] + 1) / nb))
-        return df.withColumn(_B, F.floor((v - F.lit(row["lo"])) / F.lit(width)).cast("long")), nb
+        b = F.coalesce(F.floor((v - F.lit(row["lo"])) / F.lit(width)).cast("long"),
+                       F.lit(-1).cast("long"))
+        return df.withColumn(_B, b), nb + 1
 
     stats = (df.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
@@ -150,14 +152,16 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
         return df.withColumn(_B, F.lit(0).cast("long")), 0
     if len(rows) <= BROADCAST_MAX_ROWS:
         side = F.broadcast(spark.createDataFrame(rows, schema=hot.schema))
-        pairs = sum(r["__kf_nb"] for r in rows)
+        pairs = sum(r["__kf_nb"] + 1 for r in rows)  # +1: the null-order bucket
     else:
         checkpoint_dir(spark)
         side = hot.checkpoint(eager=True)
-        pairs = side.agg(F.sum("__kf_nb")).first()[0]
+        pairs = side.agg(F.sum(F.col("__kf_nb") + 1)).first()[0]
     j = df.join(side, _null_safe(df, side, keys, "__kf_h_"), "left")
+    # rows with a null order value sort first (ascending, nulls first): bucket -1
     bucket = F.when(F.col("__kf_w").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor((v - F.col("__kf_lo")) / F.col("__kf_w")).cast("long"))
+        F.coalesce(F.floor((v - F.col("__kf_lo")) / F.col("__kf_w")).cast("long"),
+                   F.lit(-1).cast("long")))
     out = j.select(*[df[c] for c in df.columns], bucket.alias(_B))
     return out, int(pairs)
 

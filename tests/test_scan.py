@@ -97,3 +97,15 @@ def test_prefix_scan_random_shapes(spark):
                           inclusive=bool(seed % 2)).toPandas()
         want = simple_scan(df, ["k"], ["id"], aggs, inclusive=bool(seed % 2)).toPandas()
         assert same(got, want), (seed, kind)
+
+
+def test_prefix_scan_null_order_values_sort_first(spark):
+    rows = [("h", None if i % 50 == 0 else i, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t long, id long")
+    aggs = [Agg("s", "sum", F.col("id"))]
+    got = prefix_scan(df, ["k"], ["t", "id"], aggs, rows_per_bucket=30).toPandas()
+    want = simple_scan(df, ["k"], ["t", "id"], aggs).toPandas()
+    assert same(got, want)
+    got = prefix_scan(df, [], ["t", "id"], aggs, rows_per_bucket=30).toPandas()
+    want = simple_scan(df, [], ["t", "id"], aggs).toPandas()
+    assert same(got, want)
