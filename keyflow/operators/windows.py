@@ -84,6 +84,7 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
     keys = list(keys)
     order = list(order) or [time_col]
     gap_us = interval_micros(gap)
+    df = df.where(F.col(time_col).isNotNull())  # as session_window: no time, no session
     if bucket is None:
         d, pairs = assign_buckets(df, keys, time_col, rows_per_bucket)
         d = d.withColumnRenamed("__kf_bucket", "__b")
