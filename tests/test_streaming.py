@@ -323,3 +323,22 @@ def test_per_record_rolling_stream_equals_batch(spark, scratch, kind):
     _run(s, out, out + "-ck")
     got = spark.read.parquet(out).toPandas()
     assert same(got, want.toPandas())
+
+
+def test_keyed_tumbling_with_first_row_fields_stream(spark, scratch):
+    like = S.sales(spark, SF_SMALL)
+    sales = like.orderBy("event_id").toPandas()
+    src = os.path.join(scratch, "sales")
+    _split_files(sales, src, 3)
+    _split_files(_with_sentinel(sales, month="zz"), src, 1, start=3)
+    st = _stream(spark, src, like.schema)
+    out = os.path.join(scratch, "out")
+    s = SW.stream_window_reduce(st, "ts", "2 hours", keys=["month"], value="profit",
+                                order=["ts", "event_id"], carry=["category", "product"],
+                                total="profit_sum")
+    _run(s, out, out + "-ck")
+    got = _naive(spark.read.parquet(out).toPandas())
+    want = W.window_reduce(like, "ts", "2 hours", keys=["month"], value="profit",
+                           order=["ts", "event_id"], carry=["category", "product"],
+                           total="profit_sum").toPandas()
+    assert same(got, want)
