@@ -172,27 +172,31 @@ class CountEvictor(StatefulProcessor):
             return
         rn0 = self.rn.get()[0] if self.rn.exists() else 0
         kept = list(self.buf.get()) if rn0 else []
-        new = [(int(r[self.value]), *[r[c] for c in self.carry])
-               for r in df[[self.value, *self.carry]].to_dict("records")]
-        allrows = [tuple(x) for x in kept] + new
-        base = rn0 - len(kept)  # ordinal of allrows[0] is base + 1
-        vals = np.array([r[0] for r in allrows], dtype="int64")
+        # columns of (kept rows ++ this call's rows), as arrays
+        vals = np.concatenate([np.array([k[0] for k in kept], dtype="int64"),
+                               df[self.value].astype("int64").to_numpy()])
+        carry = [np.concatenate([np.array([k[1 + i] for k in kept], dtype=object),
+                                 df[c].to_numpy(dtype=object)])
+                 for i, c in enumerate(self.carry)]
+        base = rn0 - len(kept)  # ordinal of row 0 of the arrays is base + 1
         csum = np.concatenate([[0], np.cumsum(vals)])
-        rns = np.arange(rn0 + 1, rn0 + len(new) + 1, dtype="int64")
+        rns = np.arange(rn0 + 1, rn0 + len(df) + 1, dtype="int64")
         fires = rns[rns % self.every == 0]
         if len(fires):
             res = _key_frame(self.key_names, key, len(fires))
-            hi = fires - base                      # exclusive end index into allrows
+            hi = fires - base                      # exclusive end index into the arrays
             lo = np.maximum(hi - self.keep, 0)
             res["rn"] = fires
             for i, c in enumerate(self.carry):
-                res[c] = [allrows[j][1 + i] for j in lo]
+                res[c] = carry[i][lo]
             res["total"] = csum[hi] - csum[lo]
             res["n"] = (hi - lo).astype("int64")
             yield pd.DataFrame(res)
-        self.rn.update((int(rn0 + len(new)),))
+        self.rn.update((int(rn0 + len(df)),))
+        tail = slice(max(0, len(vals) - self.keep), len(vals))
         self.buf.clear()
-        self.buf.put(allrows[-self.keep:])
+        self.buf.put([(int(v), *[carry[i][j] for i in range(len(self.carry))])
+                      for j, v in zip(range(tail.start, tail.stop), vals[tail])])
 
     def close(self) -> None:
         pass
@@ -276,10 +280,12 @@ class RollingReduce(StatefulProcessor):
                 best_before = ext(best_before, prev)
             takes = better(v, best_before) | ((idx == 0) & (not have))
             held = np.maximum.accumulate(np.where(takes, idx, -1))
-            old = tuple(self.rec.get()) if have else None
+            old = tuple(self.rec.get()) if have else (None,) * len(self.carry)
             for i, c in enumerate(self.carry):
-                col = df[c].to_numpy()
-                res[c] = [col[h] if h >= 0 else old[i] for h in held]
+                # index 0 is the record held before this call, then this call's rows
+                col = np.concatenate([np.array([old[i]], dtype=object),
+                                      df[c].to_numpy(dtype=object)])
+                res[c] = col[held + 1]
             last = held[-1]
             if last >= 0:
                 self.acc.update((int(v[last]),))
