@@ -51,3 +51,17 @@ def distinct_count_update(df: DataFrame, key: str, item: str, exact: bool = True
     else:
         d = df.dropDuplicates([key, item])
     return d.groupBy(key).agg(F.count(F.lit(1)).alias("distinct_count"))
+
+
+def website_metrics_update(clicks: DataFrame, key: str = "website") -> DataFrame:
+    """Running website metrics on live input (update mode): clicks, total time,
+    average time (0 when empty) and distinct users from a fixed-size sketch.
+    Exact distinct counts need their own de-duplicating query
+    (``distinct_count_update``): de-duplication would drop the repeat clicks
+    the other metrics count."""
+    return clicks.groupBy(key).agg(
+        F.count(F.lit(1)).alias("clicks"),
+        F.sum("time_spent").cast("long").alias("total_time"),
+        F.approx_count_distinct("user_id").alias("distinct_users_approx"),
+        F.coalesce(F.try_divide(F.sum("time_spent").cast("long"), F.count(F.lit(1))),
+                   F.lit(0.0)).alias("avg_time"))

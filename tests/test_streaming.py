@@ -342,3 +342,23 @@ def test_keyed_tumbling_with_first_row_fields_stream(spark, scratch):
                            order=["ts", "event_id"], carry=["category", "product"],
                            total="profit_sum").toPandas()
     assert same(got, want)
+
+
+def test_website_metrics_update_stream(spark, scratch):
+    from keyflow.operators import aggregates as AG
+    from keyflow.streaming.rolling import website_metrics_update
+    like = S.clicks(spark, SF_SMALL)
+    clicks = like.orderBy("event_id").toPandas()
+    src = os.path.join(scratch, "clicks")
+    _split_files(clicks, src, 3)
+    st = _stream(spark, src, like.schema)
+    q = (website_metrics_update(st).writeStream.format("memory").queryName("site_metrics")
+         .outputMode("complete").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.website: r for r in spark.sql("SELECT * FROM site_metrics").collect()}
+    want = {r.website: r for r in AG.website_metrics(like).collect()}
+    assert got.keys() == want.keys()
+    for w, e in want.items():
+        g = got[w]
+        assert (g.clicks, g.total_time, g.avg_time) == (e.clicks, e.total_time, e.avg_time)
+        assert abs(g.distinct_users_approx - e.distinct_users) <= max(1, 0.05 * e.distinct_users)
