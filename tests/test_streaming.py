@@ -362,3 +362,25 @@ def test_website_metrics_update_stream(spark, scratch):
         g = got[w]
         assert (g.clicks, g.total_time, g.avg_time) == (e.clicks, e.total_time, e.avg_time)
         assert abs(g.distinct_users_approx - e.distinct_users) <= max(1, 0.05 * e.distinct_users)
+
+
+def test_count_windows_stream_recovers_after_restart(spark, scratch, numbers):
+    """C4: count windows of 10 with checkpointing; stop after part of the input,
+    restart from the checkpoint, result equals the uninterrupted batch form."""
+    like, pdf = numbers
+    src, out, ck = (os.path.join(scratch, x) for x in ("in", "out", "ck"))
+    third = len(pdf) // 3
+    _split_files(pdf.iloc[:third], src, 1, start=0)
+
+    def start():
+        st = _stream(spark, src, like.schema)
+        _run(SP.count_windows_stream(st, "key", "num", ["ts", "event_id"], 10), out, ck)
+
+    start()
+    _split_files(pdf.iloc[third:2 * third], src, 1, start=1)
+    start()
+    _split_files(pdf.iloc[2 * third:], src, 1, start=2)
+    start()
+    got = spark.read.parquet(out).toPandas()
+    want = C.count_windows(like, "key", "num", ["ts", "event_id"], 10).toPandas()
+    assert same(got, want)
