@@ -12,11 +12,12 @@ BROADCAST_MAX_ROWS = 1_000_000
 def has_at_most(df: DataFrame, n: int) -> bool:
     """True if ``df`` has at most ``n`` rows.
 
-    ``take`` scans partitions incrementally (1, then 4x more, ...) and stops
-    once ``n + 1`` rows are found, so a huge input costs about ``n`` rows of
-    reading, not a full scan; only a constant column travels to the driver.
+    ``offset(n).isEmpty()`` runs as an incremental take inside the JVM: it
+    scans partitions in growing rounds (1, then 4x more, ...) and stops once
+    ``n + 1`` rows are seen, so a huge input costs about ``n`` rows of
+    reading, not a full scan, and at most one row reaches Python.
     """
-    return len(df.select(F.lit(1).alias("one")).take(n + 1)) <= n
+    return df.select(F.lit(1).alias("one")).offset(n).isEmpty()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
