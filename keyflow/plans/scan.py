@@ -52,6 +52,8 @@ from keyflow.session import checkpoint_dir
 # force many buckets).
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 ROWS_PER_BUCKET_CONF = "spark.keyflow.scan.rowsPerBucket"
+# Hot-key tables up to this many rows are fetched to the driver and broadcast.
+LOCAL_HOT_ROWS = 10_000
 
 _B = "__kf_bucket"
 
@@ -142,21 +144,24 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
                        F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / nb))
                         .cast("long").alias("__kf_w"),
                        nb.cast("long").alias("__kf_nb"))
-    # The hot-key table is at most n / rows_per_bucket rows.  Up to the
-    # broadcast bound it is fetched once (a broadcast build side passes
-    # through the driver anyway) and broadcast; beyond it, it is materialized
-    # in the shared checkpoint folder and joined without a broadcast.
+    # The hot-key table is at most n / rows_per_bucket rows.  Small (the usual
+    # case: a handful of keys) it is fetched once and broadcast from the
+    # driver (a broadcast build side passes through the driver anyway).
+    # Larger, it is materialized in the shared checkpoint folder; broadcast
+    # from there within the broadcast bound, shuffle-joined beyond it.
     spark = df.sparkSession
-    rows = hot.limit(BROADCAST_MAX_ROWS + 1).collect()
+    rows = hot.limit(LOCAL_HOT_ROWS + 1).collect()
     if not rows:
         return df.withColumn(_B, F.lit(0).cast("long")), 0
-    if len(rows) <= BROADCAST_MAX_ROWS:
+    if len(rows) <= LOCAL_HOT_ROWS:
         side = F.broadcast(spark.createDataFrame(rows, schema=hot.schema))
         pairs = sum(r["__kf_nb"] + 1 for r in rows)  # +1: the null-order bucket
     else:
         checkpoint_dir(spark)
         side = hot.checkpoint(eager=True)
-        pairs = side.agg(F.sum(F.col("__kf_nb") + 1)).first()[0]
+        n_hot, pairs = side.agg(F.count(F.lit(1)), F.sum(F.col("__kf_nb") + 1)).first()
+        if n_hot <= BROADCAST_MAX_ROWS:
+            side = F.broadcast(side)
     j = df.join(side, _null_safe(df, side, keys, "__kf_h_"), "left")
     # rows with a null order value sort first (ascending, nulls first): bucket -1
     bucket = F.when(F.col("__kf_w").isNull(), F.lit(0).cast("long")).otherwise(

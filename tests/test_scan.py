@@ -109,3 +109,11 @@ def test_prefix_scan_null_order_values_sort_first(spark):
     got = prefix_scan(df, [], ["t", "id"], aggs, rows_per_bucket=30).toPandas()
     want = simple_scan(df, [], ["t", "id"], aggs).toPandas()
     assert same(got, want)
+
+
+def test_many_hot_keys_take_the_checkpointed_path(spark, skewed, monkeypatch):
+    import keyflow.plans.scan as scan
+    monkeypatch.setattr(scan, "LOCAL_HOT_ROWS", 2)
+    got = prefix_scan(skewed, ["k"], ["ts", "id"], aggs(), rows_per_bucket=20).toPandas()
+    want = simple_scan(skewed, ["k"], ["ts", "id"], aggs()).toPandas()
+    assert same(got, want)
