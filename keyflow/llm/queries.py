@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, quality
+from . import licenses, packing, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_license_scan": licenses.op2_license_scan,
         "op3_quality_rules": quality.op3_quality_rules,
+        "op5_best_fit_packing": packing.op5_best_fit_packing,
     }
 
 
