@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, licenses, packing, quality, toxicity
+from . import decontaminate, html_text, licenses, packing, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_license_scan": licenses.op2_license_scan,
         "op3_quality_rules": quality.op3_quality_rules,
+        "op4_benchmark_overlap": decontaminate.op4_benchmark_overlap,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op6_toxicity": toxicity.op6_toxicity,
         "op9_html_text": html_text.op9_html_text,
