@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, licenses, packing, quality, toxicity
+from . import decontaminate, html_text, licenses, line_dedup, packing, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_license_scan": licenses.op2_license_scan,
         "op3_quality_rules": quality.op3_quality_rules,
         "op4_benchmark_overlap": decontaminate.op4_benchmark_overlap,
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": line_dedup.oracle(),
         "op2_license_scan": licenses.oracle(),
         "op3_quality_rules": quality.oracle(),
     }
