@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, licenses, line_dedup, near_dup, packing, quality, toxicity
+from . import decontaminate, html_text, licenses, line_dedup, near_dup, packing, quality, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_benchmark_overlap": decontaminate.op4_benchmark_overlap,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op6_toxicity": toxicity.op6_toxicity,
+        "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op9_html_text": html_text.op9_html_text,
     }
@@ -27,5 +28,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": line_dedup.oracle(),
         "op2_license_scan": licenses.oracle(),
         "op3_quality_rules": quality.oracle(),
+        "op7_substring_dedup": substring_dedup.oracle(),
         "op8_near_duplicates": near_dup.oracle(),
     }
