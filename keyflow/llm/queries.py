@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, licenses, line_dedup, near_dup, packing, quality, substring_dedup, toxicity
+from . import decontaminate, html_text, licenses, line_dedup, lm_score, near_dup, packing, quality, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op9_html_text": html_text.op9_html_text,
+        "op10_lm_score": lm_score.op10_lm_score,
     }
 
 
