@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +29,31 @@ def save(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/keyflow-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    free_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def save_bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``save`` as a table bucketed by ``key``: later joins on it move only the other side."""
+    spark = df.sparkSession
+    name = f"keyflow_{uuid.uuid4().hex}"
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    free_shuffles(spark)
+    return spark.table(name)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no DataFrame needs any more.
+
+    Its cleaner learns of them from the driver's garbage collector, which may
+    not run for half an hour; until then they fill the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, UPPER.lower())

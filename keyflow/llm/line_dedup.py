@@ -9,11 +9,11 @@ it.  Matches are judged on the input, not on what is left.
    hashed cells, so the table every task needs has one size at any scale.  A
    word becomes a 32-bit token, led by its rarity.
 2. Lines with equal sets form a class, kept by its earliest line.
-3. Prefix filter: sets that match share at least ``SHARED`` of their rarest
-   tokens, so classes meet in a join on prefix tokens only, under the length
-   and positional filters.
+3. Prefix filter: sets that match share one of their rarest tokens, so classes
+   meet in a join on prefix tokens only, under the length and positional
+   filters and a bitmap that bounds how many tokens two sets can share.
 4. Copies and near copies make long posting lists.  So each class is first
-   held against the earliest class of each of its tokens; only classes that
+   held against the head of each of its tokens' lists, from the earliest document; only classes that
    this does not remove meet all earlier classes of their tokens.  That is
    exact, and a group of near copies costs its size, not its square.
 5. Candidates are verified on the full sets.
@@ -26,21 +26,15 @@ are kept by ``remove_lines``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.session import checkpoint_dir
-
-from .common import save, table, words
+from .common import SPACE_RE, save, save_bucketed, table, words
 
 #: Jaccard threshold as a fraction
 OVER, UNDER = 4, 5
-#: prefix tokens that matching sets share at least (sets have ``LEAST`` tokens or more)
-SHARED, LEAST = 3, 4
 #: cells of the rarity table
-CELL_BITS = 14
+CELL_BITS = 16
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -57,8 +51,9 @@ def _rarity(docs: DataFrame) -> Column:
 
     Bounded: ``2 ** CELL_BITS`` counts reach the driver, at any corpus size.
     """
-    cell = F.explode(F.transform("h", lambda x: x.bitwiseAND((1 << CELL_BITS) - 1).cast("int"))).alias("cell")
-    counts = _lines(docs).select(cell).groupBy("cell").agg(F.count("*").alias("n")).collect()
+    word = docs.select(F.explode(F.split(docs["text"], SPACE_RE)).alias("w")).filter("w <> ''")
+    cell = F.xxhash64("w").bitwiseAND((1 << CELL_BITS) - 1).cast("int").alias("cell")
+    counts = word.select(cell).groupBy("cell").agg(F.count("*").alias("n")).collect()
     n = {r["cell"]: r["n"] for r in counts}
     rank = [0] * (1 << CELL_BITS)
     for k, c in enumerate(sorted(range(len(rank)), key=lambda c: (n.get(c, 0), c))):
@@ -75,16 +70,6 @@ def _token(rank: Column, h: Column) -> Column:
     return (high + low - (1 << 31)).cast("int")
 
 
-def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """``df`` as a table in the shared folder, bucketed by ``key``: later joins on it move only the other side."""
-    spark = df.sparkSession
-    name = f"keyflow_{uuid.uuid4().hex}"
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
-    return spark.table(name)
-
-
 def classes(docs: DataFrame) -> DataFrame:
     """``id, doc_id, line_no, n, tokens``: each distinct set with its earliest line."""
     rank = _rarity(docs)
@@ -92,58 +77,56 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = rows.select(F.xxhash64("h").alias("id"), F.struct("doc_id", "line_no").alias("at"),
                        F.sort_array(F.transform("h", lambda x: _token(rank, x))).alias("tokens"))
     found = rows.groupBy("id").agg(F.min("at").alias("at"), F.first("tokens").alias("tokens"))
-    return _bucketed(found.select("id", "at.doc_id", "at.line_no", F.size("tokens").alias("n"), "tokens"), "id")
-
+    return save_bucketed(found.select("id", "at.doc_id", "at.line_no", F.size("tokens").alias("n"), "tokens"), "id")
 
-def _alike(n1: str, n2: str) -> Column:
-    """Length filter."""
-    a, b = F.col(n1), F.col(n2)
-    return (UNDER * a >= OVER * b) & (UNDER * b >= OVER * a)
 
+def _can_match(x: str, y: str) -> Column:
+    """Length, positional and bitmap filter for rows of two posting lists, by the prefix of their columns.
 
-def _can_reach(n1: str, p1: str, n2: str, p2: str) -> Column:
-    """Positional filter: shared tokens before and after a shared token cannot fall short of the overlap needed."""
-    a, i, b, j = F.col(n1), F.col(p1), F.col(n2), F.col(p2)
+    Sets of ``a`` and ``b`` tokens that match differ in at most a ninth of
+    ``a + b`` tokens; each bit in which their bitmaps differ takes one.
+    """
+    a, i, b, j = F.col(f"{x}n"), F.col(f"{x}p"), F.col(f"{y}n"), F.col(f"{y}p")
+    length = (UNDER * a >= OVER * b) & (UNDER * b >= OVER * a)
     most = F.least(i, j) + 1 + F.least(a - 1 - i, b - 1 - j)
-    return (OVER + UNDER) * most >= OVER * (a + b)
+    position = (OVER + UNDER) * most >= OVER * (a + b)
+    differ = F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits")))
+    return length & position & ((OVER + UNDER) * differ <= (UNDER - OVER) * (a + b))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Ids ``x`` of the pairs ``x, y`` whose full sets match."""
-    a = sets.select(F.col("id").alias("x"), F.col("tokens").alias("a"))
-    b = sets.select(F.col("id").alias("y"), F.col("tokens").alias("b"))
-    both = pairs.join(a, "x").join(b, "y")
-    inter = F.size(F.array_intersect("a", "b"))
-    return both.filter(UNDER * inter >= OVER * (F.size("a") + F.size("b") - inter)).select("x").distinct()
+    """Ids ``x`` of the pairs ``x, y`` whose full sets match, ``y`` being the earlier line."""
+    cols = ("id", "doc_id", "line_no", "tokens")
+    a = sets.select(*[F.col(c).alias(f"x{c}") for c in cols]).withColumnRenamed("xid", "x")
+    b = sets.select(*[F.col(c).alias(f"y{c}") for c in cols]).withColumnRenamed("yid", "y")
+    both = pairs.distinct().join(a, "x").join(b, "y").filter(
+        F.struct("ydoc_id", "yline_no") < F.struct("xdoc_id", "xline_no"))
+    inter = F.size(F.array_intersect("xtokens", "ytokens"))
+    return both.filter(UNDER * inter >= OVER * (F.size("xtokens") + F.size("ytokens") - inter)).select("x").distinct()
 
 
 def removed_classes(sets: DataFrame) -> DataFrame:
-    """``id`` of every class whose earliest line matches an earlier line."""
-    prefix = F.col("n") - F.ceil(F.col("n") * OVER / UNDER).cast("int") + SHARED
-    tokens = F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token")
-    posted = sets.filter(F.col("n") >= LEAST).select("id", "doc_id", "line_no", "n", tokens)
+    """``x``: the id of every class whose earliest line matches an earlier line."""
+    prefix = F.col("n") - F.ceil(F.col("n") * OVER / UNDER).cast("int") + 1
+    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda b, t: b.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63))))
+    posted = sets.select("id", "doc_id", "n", bits.alias("bits"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
     posted = posted.repartition("token")  # one shuffle for the posting lists' heads and the join with them
     heads = posted.groupBy("token").agg(F.count("*").alias("many"), F.min(F.struct(
-        "doc_id", "line_no", "id", "n", "p")).alias("head")).filter("many > 1")
+        "doc_id", "id", "n", "p", "bits")).alias("head")).filter("many > 1")
     lists = save(posted.join(heads.hint("shuffle_hash"), "token").select(
-        "token", "id", "doc_id", "line_no", "n", "p", F.col("head.id").alias("head"),
-        F.col("head.n").alias("head_n"), F.col("head.p").alias("head_p")))
-
-    first = lists.filter((F.col("id") != F.col("head")) & _alike("n", "head_n") & _can_reach("n", "p", "head_n", "head_p"))
-    first = first.groupBy(F.col("id").alias("x"), F.col("head").alias("y")).agg(F.count("*").alias("c"))
-    found = save(_verified(first.filter(F.col("c") >= SHARED).select("x", "y"), sets))
-
-    # a class whose list heads are all itself has nothing earlier; the others go on if nothing is found yet
-    behind = lists.filter(F.col("id") != F.col("head"))
-    x = behind.join(found.withColumnRenamed("x", "id"), "id", "left_anti").select(
-        "token", F.col("id").alias("x"), F.col("doc_id").alias("xd"), F.col("line_no").alias("xl"),
-        F.col("n").alias("xn"), F.col("p").alias("xp"), F.col("head").alias("xh"))
-    y = lists.select("token", F.col("id").alias("y"), F.col("doc_id").alias("yd"), F.col("line_no").alias("yl"),
-                     F.col("n").alias("yn"), F.col("p").alias("yp"))
-    earlier = (F.col("yd") < F.col("xd")) | (F.col("yd") == F.col("xd")) & (F.col("yl") < F.col("xl"))
-    pairs = x.join(y, "token").filter(earlier & _alike("xn", "yn") & _can_reach("xn", "xp", "yn", "yp"))
-    pairs = pairs.groupBy("x", "y").agg(F.count("*").alias("c")).filter(F.col("c") >= SHARED).select("x", "y")
-    return save(found.union(_verified(pairs, sets)))
+        "token", "id", "doc_id", "n", "p", "bits", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"),
+        F.col("head.p").alias("head_p"), F.col("head.bits").alias("head_bits")))
+
+    first = lists.filter((F.col("id") != F.col("head")) & _can_match("", "head_"))
+    found = save(_verified(first.select(F.col("id").alias("x"), F.col("head").alias("y")), sets))
+
+    cols = ("id", "doc_id", "n", "p", "bits")
+    x = lists.join(found.withColumnRenamed("x", "id"), "id", "left_anti").select(
+        "token", *[F.col(c).alias(f"x{c}") for c in cols])
+    y = lists.select("token", *[F.col(c).alias(f"y{c}") for c in cols])
+    pairs = x.join(y, "token").filter((F.col("xid") != F.col("yid")) & (F.col("ydoc_id") <= F.col("xdoc_id")) & _can_match("x", "y"))
+    return save(found.union(_verified(pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y")), sets)))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
