@@ -37,7 +37,7 @@ CACHE_WORDS = 1_000_000
 #: characters encoded at a time
 BATCH_CHARS = 8_000_000
 #: pieces of one length ranked in one task
-RANK_ROWS = 100_000
+RANK_ROWS = 500
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -237,14 +237,16 @@ def plan_rows(groups: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int,
     return rows
 
 
-def ranked(df: DataFrame, total: int) -> DataFrame:
+def ranked(df: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """``df`` with ``rank``, from 0, among the rows of its ``length``.
 
     One length may hold most rows, so each is ranked in hashed blocks of about
     ``RANK_ROWS`` rows; the blocks' sizes, one row each, give the offsets.
     """
-    blocks = max(1, -(-total // RANK_ROWS))
-    df = df.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
+    blocks = [(length, max(1, -(-n // RANK_ROWS))) for length, n in sorted(histogram.items())]
+    blocks = df.sparkSession.createDataFrame(blocks, "length long, blocks long")  # bounded: a row for each length
+    df = df.join(F.broadcast(blocks), "length")
+    df = df.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.col("blocks"))).drop("blocks")
     sizes = df.groupBy("length", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -266,7 +268,7 @@ def pack(docs: DataFrame, path: str, ranks: str | None = None, capacity: int = C
     rows = plan_rows(plan(histogram, capacity))
     handed = spark.createDataFrame(
         rows, "length long, low long, high long, each long, sequence long, first long")
-    df = ranked(cut, sum(histogram.values())).alias("r")
+    df = ranked(cut, histogram).alias("r")
     # bounded: the plan's size depends on the capacity alone
     h = F.broadcast(handed.alias("h"))
     out = df.join(h, (F.col("r.length") == F.col("h.length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
