@@ -11,7 +11,7 @@ it.  Matches are judged on the input, not on what is left.
 2. Lines with equal sets form a class, kept by its earliest line.
 3. Prefix filter: sets that match share one of their rarest tokens, so classes
    meet in a join on prefix tokens only, under the length and positional
-   filters and a bitmap that bounds how many tokens two sets can share.
+   filters and 64 parities of each set, which bound how many tokens they share.
 4. Copies and near copies make long posting lists.  So each class is first
    held against the head of each of its tokens' lists, from the earliest document; only classes that
    this does not remove meet all earlier classes of their tokens.  That is
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, save, save_bucketed, table, words
+from .common import SPACE, SPACE_RE, save, save_bucketed, table, words
 
 #: Jaccard threshold as a fraction
 OVER, UNDER = 4, 5
@@ -38,12 +38,10 @@ CELL_BITS = 16
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, h``: the hashes of a line's distinct words, in order."""
-    rows = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("t"))
+    """``doc_id, line_no, line`` of every line that has a word, of documents with an id."""
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("t")).filter("doc_id IS NOT NULL")
     rows = rows.select("doc_id", F.posexplode(F.split("t", "\n")).alias("line_no", "line"))
-    rows = rows.select("doc_id", "line_no", words(F.col("line")).alias("w"))
-    return rows.select("doc_id", "line_no", F.sort_array(F.array_distinct(
-        F.transform("w", lambda x: F.xxhash64(x)))).alias("h"))
+    return rows.filter(F.trim("line", F.lit(SPACE)) != "")
 
 
 def _rarity(docs: DataFrame) -> Column:
@@ -61,30 +59,31 @@ def _rarity(docs: DataFrame) -> Column:
     return F.expr(f"cast(split('{','.join(map(str, rank))}', ',') as array<int>)")
 
 
-def _token(rank: Column, h: Column) -> Column:
-    """32 bits: rarity rank first, then hash bits that the cell does not hold; rarer tokens are smaller."""
-    rest = 32 - CELL_BITS
+def _ordered(rank: Column, h: Column) -> Column:
+    """A word's hash, one to one, led by its rarity rank: rarer words are smaller."""
     cell = h.bitwiseAND((1 << CELL_BITS) - 1).cast("int")
-    high = F.shiftleft(F.element_at(rank, cell + 1).cast("long"), rest)
-    low = F.shiftrightunsigned(h, CELL_BITS).bitwiseAND((1 << rest) - 1)
-    return (high + low - (1 << 31)).cast("int")
+    lead = F.element_at(rank, cell + 1).cast("long") - (1 << (CELL_BITS - 1))
+    return F.shiftleft(lead, 64 - CELL_BITS) + F.shiftrightunsigned(h, CELL_BITS)
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """``id, doc_id, line_no, n, tokens``: each distinct set with its earliest line."""
     rank = _rarity(docs)
-    rows = _lines(docs).filter(F.col("doc_id").isNotNull() & (F.size("h") > 0))
-    rows = rows.select(F.xxhash64("h").alias("id"), F.struct("doc_id", "line_no").alias("at"),
-                       F.sort_array(F.transform("h", lambda x: _token(rank, x))).alias("tokens"))
+    rows = _lines(docs).select("doc_id", "line_no", words(F.col("line")).alias("w"))
+    rows = rows.select("doc_id", "line_no", F.sort_array(F.array_distinct(F.transform(
+        F.transform("w", lambda x: F.xxhash64(x)), lambda h: _ordered(rank, h)))).alias("s"))
+    # the set's name is a hash of all 64 bits of its words; its tokens are their upper halves
+    rows = rows.select(F.xxhash64("s").alias("id"), F.struct("doc_id", "line_no").alias("at"),
+                       F.transform("s", lambda x: F.shiftright(x, 32).cast("int")).alias("tokens"))
     found = rows.groupBy("id").agg(F.min("at").alias("at"), F.first("tokens").alias("tokens"))
     return save_bucketed(found.select("id", "at.doc_id", "at.line_no", F.size("tokens").alias("n"), "tokens"), "id")
 
 
 def _can_match(x: str, y: str) -> Column:
-    """Length, positional and bitmap filter for rows of two posting lists, by the prefix of their columns.
+    """Length, positional and parity filter for rows of two posting lists, by the prefix of their columns.
 
     Sets of ``a`` and ``b`` tokens that match differ in at most a ninth of
-    ``a + b`` tokens; each bit in which their bitmaps differ takes one.
+    ``a + b`` tokens; each bit in which their parities differ takes one.
     """
     a, i, b, j = F.col(f"{x}n"), F.col(f"{x}p"), F.col(f"{y}n"), F.col(f"{y}p")
     length = (UNDER * a >= OVER * b) & (UNDER * b >= OVER * a)
@@ -108,7 +107,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def removed_classes(sets: DataFrame) -> DataFrame:
     """``x``: the id of every class whose earliest line matches an earlier line."""
     prefix = F.col("n") - F.ceil(F.col("n") * OVER / UNDER).cast("int") + 1
-    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda b, t: b.bitwiseOR(
+    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda b, t: b.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63))))
     posted = sets.select("id", "doc_id", "n", bits.alias("bits"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
     posted = posted.repartition("token")  # one shuffle for the posting lists' heads and the join with them
@@ -132,11 +131,9 @@ def removed_classes(sets: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, lines``: the numbers, from 0, of each document's removed lines (documents that lose any)."""
     sets = classes(docs)
-    dead = removed_classes(sets).withColumnRenamed("x", "id").withColumn("dead", F.lit(True))
-    kept = sets.select("id", F.col("doc_id").alias("d"), F.col("line_no").alias("l")).join(dead, "id", "left")
-    rows = _lines(docs).filter(F.col("doc_id").isNotNull() & (F.size("h") > 0)).select(
-        F.xxhash64("h").alias("id"), "doc_id", "line_no")
-    gone = rows.join(kept, "id").filter(F.col("dead") | (F.col("d") != F.col("doc_id")) | (F.col("l") != F.col("line_no")))
+    dead = removed_classes(sets).withColumnRenamed("x", "id")
+    kept = sets.select("id", "doc_id", "line_no").join(dead, "id", "left_anti")
+    gone = _lines(docs).select("doc_id", "line_no").join(kept, ["doc_id", "line_no"], "left_anti")
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
 
 
