@@ -40,7 +40,7 @@ from .graph import components
 BUCKETS, BAND, MANTISSA = 128, 4, 10
 EMPTY = -1
 #: a band key with more members is compared block by block
-BLOCK = 256
+BLOCK = 1000
 STANDARD_ERRORS = 5.0
 FILTER_BITS = 1 << 22
 
@@ -146,30 +146,42 @@ def _estimate(a: Column, b: Column) -> tuple[Column, Column]:
     return (same / used - chance) / (1 - chance), used
 
 
+def _first_band(a: Column, b: Column) -> Column:
+    """The first band, not all empty, in which two register rows agree."""
+    def agrees(i: Column) -> Column:
+        x = F.slice(a, i * BAND + 1, BAND)
+        return (x == F.slice(b, i * BAND + 1, BAND)) & F.exists(x, lambda v: v != EMPTY)
+
+    return F.array_position(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS // BAND - 1)), agrees), True) - 1
+
+
 def _across(members: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs between components of the same band key.
 
-    ``members``: ``key, id, component, n, regs``, of keys with several components.
+    ``members``: ``key, band, id, component, n, regs``, of keys with several
+    components.  A pair is taken up in the first band that it shares only.
     """
     t = percent / 100
     sized = members.withColumn("many", F.count("*").over(Window.partitionBy("key")))
     few = sized.filter(F.col("many") <= BLOCK)
     cols = ("id", "component", "n", "regs")
-    x = few.select("key", *[F.col(c).alias(f"x{c}") for c in cols])
+    n_bands = BUCKETS // BAND
+    x = few.select("key", "band", *[F.col(c).alias(f"x{c}") for c in cols])
     y = few.select("key", *[F.col(c).alias(f"y{c}") for c in cols])
     estimate, used = _estimate(F.col("xregs"), F.col("yregs"))
     pairs = x.join(y, "key").filter((F.col("xid") > F.col("yid")) & (F.col("xcomponent") != F.col("ycomponent"))
-                                    & _sizes_fit("xn", "yn", percent))
-    pairs = pairs.filter(estimate >= t - STANDARD_ERRORS * F.sqrt(t * (1 - t) / used)).select(
-        F.col("xid").alias("x"), F.col("yid").alias("y"))
+                                    & _sizes_fit("xn", "yn", percent)
+                                    & (estimate >= t - STANDARD_ERRORS * F.sqrt(t * (1 - t) / used))
+                                    & (_first_band(F.col("xregs"), F.col("yregs")) == F.col("band")))
+    pairs = pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y"))
 
     # larger keys: members in order of component, cut into blocks; every pair of blocks is one group
     order = Window.partitionBy("key").orderBy("component", "id")
     many = sized.filter(F.col("many") > BLOCK).withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     last = F.floor((F.col("many") - 1) / BLOCK).cast("int")
     other = F.explode(F.sequence(F.lit(0), last)).alias("other")
-    many = many.select("key", *cols, "block", other).select(
-        "key", *cols, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
+    many = many.select("key", "band", *cols, "block", other).select(
+        "key", "band", *cols, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         a = pdf[pdf["block"] == pdf["i"].iloc[0]]
@@ -178,6 +190,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         if len(a) and len(b) and not (a["component"].nunique() == 1 == b["component"].nunique()
                                       and a["component"].iloc[0] == b["component"].iloc[0]):
             rb = np.stack(b["regs"].to_list())
+            band = int(pdf["band"].iloc[0])
             for id_, comp, n, regs in zip(a["id"], a["component"], a["n"], a["regs"], strict=True):
                 regs = np.asarray(regs)
                 m = b["n"].to_numpy()
@@ -186,6 +199,9 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
                 same = ((rb == regs) & (regs != EMPTY)).sum(axis=1)
                 chance = 0.4 / (1 << MANTISSA)
                 ok &= (same / used_ - chance) / (1 - chance) >= t - STANDARD_ERRORS * np.sqrt(t * (1 - t) / used_)
+                bands = ((rb == regs).reshape(len(rb), n_bands, BAND).all(axis=2)
+                         & (regs != EMPTY).reshape(n_bands, BAND).any(axis=1))
+                ok &= bands.argmax(axis=1) == band
                 out += [(max(id_, k), min(id_, k)) for k in b["id"].to_numpy()[ok] if k != id_]
         return pd.DataFrame(sorted(set(out)), columns=["x", "y"]).astype("int64")
 
@@ -202,9 +218,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     bands = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda i: F.struct(
         i.alias("i"), F.slice("regs", i * BAND + 1, BAND).alias("r"))),
         lambda s: F.exists(s["r"], lambda v: v != EMPTY))
-    keys = classes.select("id", "n", F.explode(F.transform(bands, lambda s: F.xxhash64(s["i"], s["r"]))).alias("key"))
+    keys = classes.select("id", "n", F.explode(bands).alias("b")).select(
+        "id", "n", F.col("b.i").alias("band"), F.xxhash64("b.i", "b.r").alias("key"))
     heads = keys.groupBy("key").agg(F.count("*").alias("many"), F.min(F.struct("id", "n")).alias("head")).filter("many > 1")
-    shared = save(keys.join(heads, "key").select("key", "id", "n", F.col("head.id").alias("head"), F.col("head.n").alias("head_n")))
+    shared = save(keys.join(heads, "key").select("key", "band", "id", "n", F.col("head.id").alias("head"), F.col("head.n").alias("head_n")))
 
     sets = save(_full_sets(docs, shared.select("id").distinct(), size))
     stars = shared.filter((F.col("id") != F.col("head")) & _sizes_fit("n", "head_n", percent)).select(
@@ -212,7 +229,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     links = save(_confirmed(stars, sets, percent))
     first = components(links)
 
-    placed = shared.select("key", "id", "n").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = shared.select("key", "band", "id", "n").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     members = placed.join(open_keys.select("key"), "key", "left_semi").join(classes.select("id", "regs"), "id")
     more = _confirmed(save(_across(members, percent)), sets, percent)
