@@ -17,15 +17,16 @@ the same result in two levels:
 4. combine: ``offset (+|least|greatest) in-bucket value`` through a
    broadcast join against the summary, which keeps the window's partitioning.
 
-Hot keys are found with one partial aggregation ``groupBy(keys).agg(count,
-min, max)`` keeping keys with more than ``rows_per_bucket`` rows; that small
-table is computed once and broadcast (or, past the broadcast bound,
-materialized in the shared checkpoint folder and shuffle-joined).  Each hot
-key gets its own bucket width (``span * rows_per_bucket / count``), so it
-is cut into about ``count / rows_per_bucket`` buckets; every other key stays
-in bucket 0 and costs nothing extra.  Hence the summary has at most
-``sum over hot keys of ceil(count / rows_per_bucket)`` rows, a bound that is
-computed (not guessed) before anything is broadcast.
+Hot keys are found with one partial aggregation ``groupBy(keys).agg(count)``
+keeping keys with more than ``rows_per_bucket`` rows; that small table is
+computed once and broadcast (or, past the broadcast bound, materialized in
+the shared checkpoint folder and shuffle-joined).  Each hot key is cut at
+quantiles of its own rows (one mergeable sketch per key) into about
+``count / rows_per_bucket`` buckets, so bursts, outliers and backfills do not
+unbalance them; a single order value that fills several buckets is cut by the
+next order column.  Every other key stays in bucket 0 and costs nothing extra.
+The summary's number of rows is bounded by the sum of the split points, which
+is computed (not guessed) before anything is broadcast.
 
 Only associative aggregates are allowed: ``sum``, ``min``, ``max``.  Arg-min
 / arg-max and "value of the first row" are ``min``/``max`` over a struct whose
@@ -54,6 +55,8 @@ DEFAULT_ROWS_PER_BUCKET = 2_000_000
 ROWS_PER_BUCKET_CONF = "spark.keyflow.scan.rowsPerBucket"
 # Hot-key tables up to this many rows are fetched to the driver and broadcast.
 LOCAL_HOT_ROWS = 10_000
+# Slices of one key at most, at each of the two levels.
+MAX_SLICES = 4096
 
 _B = "__kf_bucket"
 
@@ -115,60 +118,111 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], rprefix:
     return cond
 
 
-def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
-                   rows_per_bucket: int | None = None) -> tuple[DataFrame, int]:
-    """Add ``__kf_bucket``: 0 for ordinary keys, time slices for hot keys.
+def _quantiles(v: Column, n: Column, slices: int, rows_per_bucket: int) -> Column:
+    """About ``n / rows_per_bucket`` ascending split points of ``v``, repeats kept.
 
-    Returns the frame and a proven upper bound of the number of
-    ``(hot key, bucket)`` pairs.
+    One mergeable sketch per group, so a group's rows are never gathered.
+    """
+    grid = F.percentile_approx(v, [i / slices for i in range(1, slices + 1)], max(10_000, 20 * slices))
+    nb = F.least(F.lit(slices), F.ceil(n / F.lit(rows_per_bucket))).cast("int")
+    return F.transform(F.sequence(F.lit(1), nb - 1),
+                       lambda i: F.element_at(grid, F.ceil(i * slices / nb).cast("int")))
+
+
+def _slice(splits: Column, v: Column) -> Column:
+    """Slice of ``v`` among distinct ascending split points, by binary search: ``2 k`` between
+    the ``k``-th and the next, ``2 k + 1`` on the next.  Rows on a split point have a slice
+    to themselves, so it can be split further by another column."""
+    steps = F.array(*[F.lit(1 << k) for k in range(MAX_SLICES.bit_length() - 1, -1, -1)])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(splits, at + step - 1) < v, at + step).otherwise(at))
+    on = F.coalesce(F.get(splits, below) == v, F.lit(False))
+    return (2 * below + F.when(on, 1).otherwise(0)).cast("long")
+
+
+def _bounded_side(side: DataFrame, points: int) -> DataFrame:
+    """Broadcast a table of split points if it is proven small; otherwise leave the join to Spark."""
+    return F.broadcast(side) if points <= BROADCAST_MAX_ROWS else side
+
+
+def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
+                   rows_per_bucket: int | None = None,
+                   then: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """Add ``__kf_bucket``: 0 for ordinary keys, slices of ``col`` for hot keys.
+
+    Slices end at quantiles of each hot key's own rows, so outliers, bursts
+    and backfills do not unbalance them.  Where one value of ``col`` alone
+    fills several slices, its rows are sliced by the next order column
+    (``then[0]``), again at quantiles.  Returns the frame and an upper bound
+    of the number of ``(hot key, bucket)`` pairs.
     """
     rpb = resolve_rows_per_bucket(df, rows_per_bucket)
+    spark = df.sparkSession
     v = as_long(df, col)
-    if not keys:
-        row = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"),
-                     F.count(F.lit(1)).alias("n")).first()
-        if row is None or row["n"] <= rpb or row["lo"] is None:
-            return df.withColumn(_B, F.lit(0).cast("long")), 0
-        nb = math.ceil(row["n"] / rpb)
-        width = max(1, math.ceil((row["hi"] - row["lo"] + 1) / nb))
-        b = F.coalesce(F.floor((v - F.lit(row["lo"])) / F.lit(width)).cast("long"),
-                       F.lit(-1).cast("long"))
-        return df.withColumn(_B, b), nb + 1
-
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-             .where(F.col("n") > rpb))
-    nb = F.ceil(F.col("n") / F.lit(rpb))
-    hot = stats.select(*[F.col(k).alias(f"__kf_h_{k}") for k in keys],
-                       F.col("lo").alias("__kf_lo"),
-                       F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / nb))
-                        .cast("long").alias("__kf_w"),
-                       nb.cast("long").alias("__kf_nb"))
+    keys = list(keys)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rpb)
     # The hot-key table is at most n / rows_per_bucket rows.  Small (the usual
-    # case: a handful of keys) it is fetched once and broadcast from the
-    # driver (a broadcast build side passes through the driver anyway).
-    # Larger, it is materialized in the shared checkpoint folder; broadcast
-    # from there within the broadcast bound, shuffle-joined beyond it.
-    spark = df.sparkSession
+    # case: a handful of keys) it is fetched once; larger, it is materialized
+    # in the shared checkpoint folder.
     rows = hot.limit(LOCAL_HOT_ROWS + 1).collect()
     if not rows:
         return df.withColumn(_B, F.lit(0).cast("long")), 0
     if len(rows) <= LOCAL_HOT_ROWS:
-        side = F.broadcast(spark.createDataFrame(rows, schema=hot.schema))
-        pairs = sum(r["__kf_nb"] + 1 for r in rows)  # +1: the null-order bucket
+        hot, n_hot = spark.createDataFrame(rows, schema=hot.schema), len(rows)
+        most, total = max(r["n"] for r in rows), sum(r["n"] for r in rows)
     else:
         checkpoint_dir(spark)
-        side = hot.checkpoint(eager=True)
-        n_hot, pairs = side.agg(F.count(F.lit(1)), F.sum(F.col("__kf_nb") + 1)).first()
-        if n_hot <= BROADCAST_MAX_ROWS:
-            side = F.broadcast(side)
+        hot = hot.checkpoint(eager=True)
+        n_hot, most, total = hot.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
+    slices = min(MAX_SLICES, max(2, math.ceil(most / rpb)))
+    points = total // rpb + n_hot
+
+    def with_keys(side: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        return side.select(*[F.col(k).alias(f"__kf_h_{k}") for k in keys], *extra)
+
+    side = _bounded_side(with_keys(hot, ["n"]), n_hot)
+    mine = df.join(side, _null_safe(df, side, keys, "__kf_h_")).select(
+        *[df[k] for k in keys], v.alias("__kf_v"), F.col("n").alias("__kf_n"),
+        *[as_long(df, t).alias("__kf_t") for t in then[:1] if _sliceable(df, t)])
+    raw = mine.groupBy(*keys).agg(_quantiles(F.col("__kf_v"), F.max("__kf_n"), slices, rpb).alias("__kf_raw"))
+    checkpoint_dir(spark)
+    raw = (spark.createDataFrame(raw.collect(), schema=raw.schema) if points <= LOCAL_HOT_ROWS
+           else raw.checkpoint(eager=True))
+    side = _bounded_side(with_keys(raw, [F.array_sort(F.array_distinct("__kf_raw")).alias("__kf_s")]), points)
     j = df.join(side, _null_safe(df, side, keys, "__kf_h_"), "left")
     # rows with a null order value sort first (ascending, nulls first): bucket -1
-    bucket = F.when(F.col("__kf_w").isNull(), F.lit(0).cast("long")).otherwise(
-        F.coalesce(F.floor((v - F.col("__kf_lo")) / F.col("__kf_w")).cast("long"),
-                   F.lit(-1).cast("long")))
-    out = j.select(*[df[c] for c in df.columns], bucket.alias(_B))
-    return out, int(pairs)
+    first = F.when(F.col("__kf_s").isNull(), F.lit(0).cast("long")).otherwise(
+        F.coalesce(F.when(v.isNotNull(), _slice(F.col("__kf_s"), v)), F.lit(-1).cast("long")))
+    out = j.select(*[df[c] for c in df.columns], first.alias(_B))
+    pairs = 2 * points + 2 * n_hot
+
+    # a value on several split points fills several slices alone
+    tied = raw.select(*keys, F.explode(F.array_distinct("__kf_raw")).alias("__kf_v"), "__kf_raw").select(
+        *keys, "__kf_v", F.size(F.filter("__kf_raw", lambda x: x == F.col("__kf_v"))).alias("times")).where("times > 1")
+    ties = tied.agg(F.count(F.lit(1)).alias("k"), F.max("times").alias("most"), F.sum("times").alias("all")).first()
+    if not ties["k"] or not then or not _sliceable(df, then[0]):
+        return out, int(pairs)
+    side = _bounded_side(with_keys(tied, [F.col("__kf_v").alias("__kf_tv"), "times"]), ties["k"])
+    low = mine.join(side, _null_safe(mine, side, keys, "__kf_h_") & (mine["__kf_v"] == side["__kf_tv"]))
+    low = low.groupBy(*[mine[k] for k in keys], "__kf_tv").agg(_quantiles(
+        F.col("__kf_t"), (F.max("times") + 1) * F.lit(rpb), min(MAX_SLICES, ties["most"] + 1), rpb).alias("__kf_raw"))
+    low = low.checkpoint(eager=True)
+    side = _bounded_side(with_keys(low, ["__kf_tv", F.array_sort(F.array_distinct("__kf_raw")).alias("__kf_s2")]),
+                         ties["all"])
+    j = out.join(side, _null_safe(out, side, keys, "__kf_h_") & (as_long(out, col) == side["__kf_tv"]), "left")
+    t = as_long(out, then[0])
+    second = F.when(F.col("__kf_s2").isNull() | t.isNull(), F.lit(0).cast("long")).otherwise(_slice(F.col("__kf_s2"), t) + 1)
+    width = 4 * MAX_SLICES
+    return (j.select(*[out[c] for c in df.columns], (out[_B] * width + second).alias(_B)),
+            int(pairs + 2 * ties["all"] + 4 * ties["k"]))
+
+
+def _sliceable(df: DataFrame, col: str) -> bool:
+    try:
+        as_long(df, col)
+    except TypeError:
+        return False
+    return True
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -185,7 +239,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     if bucket is None:
-        d, pairs = assign_buckets(df, keys, order[0], rows_per_bucket)
+        d, pairs = assign_buckets(df, keys, order[0], rows_per_bucket, then=order[1:])
     else:
         d, pairs = df.withColumn(_B, bucket), None
 

@@ -117,3 +117,33 @@ def test_many_hot_keys_take_the_checkpointed_path(spark, skewed, monkeypatch):
     got = prefix_scan(skewed, ["k"], ["ts", "id"], aggs(), rows_per_bucket=20).toPandas()
     want = simple_scan(skewed, ["k"], ["ts", "id"], aggs()).toPandas()
     assert same(got, want)
+
+
+def _largest_bucket(spark, stamps, limit):
+    from keyflow.plans.scan import assign_buckets
+    df = spark.createDataFrame([("h", t, i) for i, t in enumerate(stamps)], "k string, t long, id long")
+    d, pairs = assign_buckets(df, ["k"], "t", rows_per_bucket=limit, then=["id"])
+    sizes = [r["count"] for r in d.groupBy("k", "__kf_bucket").count().collect()]
+    got = prefix_scan(df, ["k"], ["t", "id"], [Agg("s", "sum", F.col("id"))], rows_per_bucket=limit).toPandas()
+    want = simple_scan(df, ["k"], ["t", "id"], [Agg("s", "sum", F.col("id"))]).toPandas()
+    assert same(got, want) and len(sizes) <= pairs
+    return max(sizes)
+
+
+def test_outliers_ties_and_bursts_do_not_unbalance_buckets(spark):
+    now = 1_700_000_000_000
+    n, limit = 6_000, 200
+    assert _largest_bucket(spark, [0] + [now + i for i in range(n - 1)], limit) <= 2 * limit  # one row at epoch 0
+    assert _largest_bucket(spark, [now] * n, limit) <= 2 * limit  # all rows on one timestamp
+    burst = [now + i // 1000 if i % 10 else now - 10_000 * i for i in range(n)]  # 90 % in a burst
+    assert _largest_bucket(spark, burst, limit) <= 2 * limit
+
+
+def test_size_check_sends_one_row_per_task(spark):
+    from keyflow.plans.sizing import has_at_most, rows_and_bytes
+    df = spark.range(0, 100_000, numPartitions=20).select(F.col("id").cast("string").alias("s"))
+    n, size = rows_and_bytes(df)
+    assert n == 100_000 and size > 100_000 * 16
+    assert has_at_most(df, 100_000) and not has_at_most(df, 99_999) and not has_at_most(df, 200_000, n_bytes=1000)
+    plan = df.agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "CollectLimit" not in plan
