@@ -35,6 +35,8 @@ from .common import SPACE, SPACE_RE, save, save_bucketed, table, words
 OVER, UNDER = 4, 5
 #: cells of the rarity table
 CELL_BITS = 16
+#: cells of the table that tells which classes may have been removed already
+CELLS = 1 << 20
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -110,22 +112,27 @@ def removed_classes(sets: DataFrame) -> DataFrame:
     bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda b, t: b.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63))))
     posted = sets.select("id", "doc_id", "n", bits.alias("bits"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
-    posted = posted.repartition("token")  # one shuffle for the posting lists' heads and the join with them
-    heads = posted.groupBy("token").agg(F.count("*").alias("many"), F.min(F.struct(
-        "doc_id", "id", "n", "p", "bits")).alias("head")).filter("many > 1")
-    lists = save(posted.join(heads.hint("shuffle_hash"), "token").select(
-        "token", "id", "doc_id", "n", "p", "bits", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"),
-        F.col("head.p").alias("head_p"), F.col("head.bits").alias("head_bits")))
-
-    first = lists.filter((F.col("id") != F.col("head")) & _can_match("", "head_"))
-    found = save(_verified(first.select(F.col("id").alias("x"), F.col("head").alias("y")), sets))
-
+    # one shuffle, written by token: list heads and both joins below read it in place
+    lists = save_bucketed(posted.repartition("token"), "token")
+    heads = lists.groupBy("token").agg(F.count("*").alias("many"), F.min(F.struct("doc_id", "id", "n", "p", "bits")).alias("head"))
+    heads = heads.filter("many > 1").select("token", *[F.col(f"head.{c}").alias(f"head_{c}") for c in ("id", "n", "p", "bits")])
+
+    first = lists.join(heads.hint("shuffle_hash"), "token").filter((F.col("id") != F.col("head_id")) & _can_match("", "head_"))
+    found = save(_verified(first.select(F.col("id").alias("x"), F.col("head_id").alias("y")), sets))
+
+    # classes not removed so far; a bounded, broadcast table of hashed cells spares most of them the shuffle of an anti join
+    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS)).alias("cell")
+    gone = found.select(F.col("x").alias("id"))
+    cells = F.broadcast(save(gone.select(cell).distinct()))  # bounded: at most CELLS rows
+    keyed = lists.withColumn("cell", cell)
+    open_ = keyed.join(cells, "cell", "left_anti"), keyed.join(cells, "cell", "left_semi").join(gone, "id", "left_anti")
     cols = ("id", "doc_id", "n", "p", "bits")
-    x = lists.join(found.withColumnRenamed("x", "id"), "id", "left_anti").select(
-        "token", *[F.col(c).alias(f"x{c}") for c in cols])
     y = lists.select("token", *[F.col(c).alias(f"y{c}") for c in cols])
-    pairs = x.join(y, "token").filter((F.col("xid") != F.col("yid")) & (F.col("ydoc_id") <= F.col("xdoc_id")) & _can_match("x", "y"))
-    return save(found.union(_verified(pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y")), sets)))
+    for part in open_:
+        x = part.select("token", *[F.col(c).alias(f"x{c}") for c in cols])
+        pairs = x.join(y, "token").filter((F.col("xid") != F.col("yid")) & (F.col("ydoc_id") <= F.col("xdoc_id")) & _can_match("x", "y"))
+        found = found.union(_verified(pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y")), sets))
+    return save(found)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
