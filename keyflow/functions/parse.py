@@ -26,13 +26,18 @@ def _fields(value: str = "value") -> Column:
 
 
 def _get(parts: Column, i: int, strict: bool) -> Column:
-    if strict:
-        return parts.getItem(i)
-    return F.try_element_at(parts, F.lit(i + 1))
+    found = F.get(parts, F.lit(i))
+    if strict:  # fails by itself, whatever the session's ANSI setting
+        short = F.raise_error(F.concat(F.lit(f"no field {i} in: "), F.array_join(parts, ",")))
+        return F.when(F.size(parts) <= i, short).otherwise(found)
+    return found
 
 
 def _cast(c: Column, t: str, strict: bool) -> Column:
-    return c.cast(t) if strict else c.try_cast(t)
+    if strict:
+        bad = F.raise_error(F.concat(F.lit(f"not a valid {t}: "), c))
+        return F.when(c.isNotNull() & c.try_cast(t).isNull(), bad).otherwise(c.try_cast(t))
+    return c.try_cast(t)
 
 
 def _select(df: DataFrame, keep: Sequence[str], cols: list[Column]) -> DataFrame:

@@ -67,17 +67,23 @@ def trips_job(spark: SparkSession, in_path: str, out_dir: str) -> None:
 def clicks_job(spark: SparkSession, in_dir: str, out_dir: str, window: str = "5 seconds",
                checkpoint: str | None = None, available_now: bool = True) -> list:
     """Live click lines (folder stream) -> US clicks per website per ingest-time
-    window, and the running distinct users per website (exact, update mode)."""
+    window, and the running distinct users per website (exact, update mode).
+
+    Both are written in update mode, a folder per micro-batch: a window's row
+    is its count so far and replaces the one of an earlier batch, so the last
+    window's clicks are there too when the job ends."""
     lines = read_lines(spark, in_dir, streaming=True)
     us = FL.filter_country(P.parse_click(lines))
     counts = (us.withColumn("ingest_ts", F.current_timestamp())
                 .withWatermark("ingest_ts", "0 seconds")
                 .groupBy("website", F.window("ingest_ts", window).alias("w"))
                 .agg(F.count(F.lit(1)).alias("clicks"))
-                .select("website", "clicks"))
+                .select("website", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks"))
     ck = checkpoint or os.path.join(out_dir, "_checkpoints")
-    q1 = start_query(counts, os.path.join(out_dir, "clicks_per_website"), "clicks_per_website",
-                     available_now=available_now, checkpoint=os.path.join(ck, "clicks"))
+    c = (counts.writeStream.outputMode("update")
+         .foreachBatch(lambda b, e: write_text(b, os.path.join(out_dir, "clicks_per_website", f"epoch={e}")))
+         .option("checkpointLocation", os.path.join(ck, "clicks")))
+    q1 = (c.trigger(availableNow=True) if available_now else c).start()
     users = us.dropDuplicates(["website", "user_id"]).groupBy("website").agg(
         F.count(F.lit(1)).alias("distinct_users"))
     w = (users.writeStream.outputMode("update")
@@ -143,13 +149,13 @@ def tumbling_profit_job(spark: SparkSession, in_path: str, out_dir: str,
                         size: str = "2 seconds") -> None:
     """Timed profit lines ``epoch_millis,month,category,product,profit`` ->
     per-month tumbling-window profit sum, count and average."""
-    lines = read_lines(spark, in_path)
+    lines = with_arrival(read_lines(spark, in_path))
     parts = F.split("value", ",")
     from keyflow.functions.time import from_epoch_millis
     rec = lines.select(from_epoch_millis(parts[0].cast("long")).alias("ts"),
                        parts[1].alias("month"), parts[2].alias("category"),
-                       parts[3].alias("product"), parts[4].cast("int").alias("profit"))
-    out = W.window_reduce(rec, "ts", size, keys=["month"], value="profit", order=["ts"],
+                       parts[3].alias("product"), parts[4].cast("int").alias("profit"), ARRIVAL)
+    out = W.window_reduce(rec, "ts", size, keys=["month"], value="profit", order=["ts", ARRIVAL],
                           carry=["category", "product"], total="profit_sum", with_avg=True)
     write_text(out, os.path.join(out_dir, "tumbling"))
 

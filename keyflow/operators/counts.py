@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyflow.functions.number import wide
 from keyflow.plans.scan import Agg, prefix_scan, row_ordinal
 
 
@@ -33,7 +34,7 @@ def count_trigger(df: DataFrame, key: str, value: str, order: Sequence[str],
     key's first row.  Output: key, rn, carry, total, n.
     """
     aggs = [Agg("rn", "sum", F.lit(1).cast("long")),
-            Agg("total", "sum", F.col(value).cast("long"))]
+            Agg("total", "sum", wide(df, value))]
     if carry:
         aggs.append(Agg("__first", "min", _first(order, carry)))
     r = prefix_scan(df, [key], list(order), aggs, **scan_opts)
@@ -56,7 +57,7 @@ def count_evictor(df: DataFrame, key: str, value: str, order: Sequence[str],
     r = row_ordinal(df, [key], list(order), **scan_opts)
     r = r.withColumn("__blk", F.expr(f"(rn - 1) div {every}"))
     kept = r.where((F.col("rn") - F.col("__blk") * every) > (every - keep))
-    aggs = [F.max("rn").alias("rn"), F.sum(value).cast("long").alias("total"),
+    aggs = [F.max("rn").alias("rn"), F.sum(wide(df, value)).alias("total"),
             F.count(F.lit(1)).alias("n")]
     if carry:
         aggs.append(F.min(_first(order, carry)).alias("__first"))
@@ -73,7 +74,7 @@ def _count_evictor_long(df, key, value, order, every, keep, carry, **scan_opts):
     """
     r = prefix_scan(df, [key], list(order),
                     [Agg("rn", "sum", F.lit(1).cast("long")),
-                     Agg("__S", "sum", F.col(value).cast("long"))], **scan_opts)
+                     Agg("__S", "sum", wide(df, value))], **scan_opts)
     fires = r.where(F.col("rn") % every == 0).select(key, "rn", "__S")
     back = r.select(F.col(key).alias("__k"), F.col("rn").alias("__rn"),
                     F.col("__S").alias("__S0"),
@@ -108,7 +109,7 @@ def count_windows(df: DataFrame, key: str, value: str, order: Sequence[str],
     for red in reducers:
         if red == "count":
             continue
-        aggs.append(fns[red](value).cast("long").alias(red))
+        aggs.append(fns[red](wide(df, value)).alias(red))
     if as_text:
         # window holds exactly `size` rows: sorting them in the task is bounded
         items = F.sort_array(F.collect_list(F.struct("rn", F.col(value).cast("string").alias("x"))))

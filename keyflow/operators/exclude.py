@@ -21,12 +21,15 @@ from keyflow.plans.sizing import broadcast_if_small
 def exclude(records: DataFrame, rules: DataFrame, id_col: str = "id",
             rule_time: str | None = None, record_time: str | None = None) -> DataFrame:
     """Records whose id has no rule.  With ``rule_time``/``record_time`` a rule
-    only excludes records that arrive at or after the rule became effective."""
+    only excludes records that arrive at or after the rule became effective;
+    the two go together."""
+    if (rule_time is None) != (record_time is None):
+        raise ValueError("rule_time and record_time go together")
     r = broadcast_if_small(rules.select(F.col(id_col).alias("__rid"),
                                         *([F.col(rule_time).alias("__rt")] if rule_time else [])))
     cond = F.col(id_col) == F.col("__rid")
     if rule_time:
-        cond = cond & (F.col("__rt") <= F.col(record_time or id_col))
+        cond = cond & (F.col("__rt") <= F.col(record_time))
     return records.join(r, cond, "left_anti")
 
 

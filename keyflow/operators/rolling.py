@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyflow.functions.number import wide
 from keyflow.plans.scan import Agg, as_long, prefix_scan
 
 
@@ -53,7 +54,8 @@ def rolling_by(df: DataFrame, key: str, value: str, order: Sequence[str],
     else:
         cmp = [F.col(value).alias("__v")] + [(-as_long(df, o)).alias(f"__o{i}")
                                            for i, o in enumerate(order)]
-    s = F.struct(*cmp, *[F.col(c) for c in record])
+    # a missing value never holds: as null, the struct is skipped by min and max
+    s = F.when(F.col(value).isNotNull(), F.struct(*cmp, *[F.col(c) for c in record]))
     r = prefix_scan(df, [key], order, [Agg("__held", kind, s)], **scan_opts)
     return r.select(key, *[F.col(o).alias(f"at_{o}") for o in order],
                     *[F.col(f"__held.{c}").alias(c) for c in record])
@@ -63,7 +65,7 @@ def running_sum_count(df: DataFrame, key: str, value: str, order: Sequence[str],
                       **scan_opts) -> DataFrame:
     """Running ``(sum, count)`` per key; the running average is ``sum / count``."""
     r = prefix_scan(df, [key], order,
-                    [Agg("running_sum", "sum", F.col(value).cast("long")),
+                    [Agg("running_sum", "sum", wide(df, value)),
                      Agg("running_count", "sum", F.lit(1).cast("long"))], **scan_opts)
     return r.withColumn("running_avg", F.col("running_sum") / F.col("running_count"))
 

@@ -18,6 +18,7 @@ in the stitching window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,11 +39,20 @@ def _reduce_aggs(value: str | None, order: Sequence[str], carry: Sequence[str],
     if carry:
         aggs.append(F.min(_first(order, carry)).alias("__first"))
     if value is not None:
-        aggs.append(F.sum(value).cast("long").alias(total))
+        aggs.append(F.sum(value).alias(total))
     aggs.append(F.count(F.lit(1)).alias("n"))
     return aggs
 
 
+def _merge_aggs(value: str | None, carry: Sequence[str], total: str) -> list[Column]:
+    """Reductions of partial rows made by ``_reduce_aggs``."""
+    aggs = [F.min("__first").alias("__first")] if carry else []
+    if value is not None:
+        aggs.append(F.sum(total).alias(total))
+    aggs.append(F.sum("n").alias("n"))
+    return aggs
+
+
 def _finish(df: DataFrame, keys: Sequence[str], start: str, end: str,
             carry: Sequence[str], value: str | None, total: str, with_avg: bool) -> DataFrame:
     cols = [*keys, F.col(start).alias("window_start"), F.col(end).alias("window_end"),
@@ -63,9 +73,16 @@ def window_reduce(df: DataFrame, time_col: str, size: str, slide: str | None = N
 
     Output: keys, window_start, window_end, carry (first row), total, n[, avg].
     """
-    w = F.window(time_col, size, slide) if slide else F.window(time_col, size)
-    g = df.groupBy(*keys, w.alias("__w")).agg(*_reduce_aggs(value, order or [time_col],
-                                                           carry, total))
+    aggs = _reduce_aggs(value, order or [time_col], carry, total)
+    if slide:
+        # reduce to panes that every window holds whole, then merge the few pane rows per window:
+        # the input is not copied once for each window it lies in
+        pane = math.gcd(interval_micros(size), interval_micros(slide))
+        g = df.groupBy(*keys, F.window(time_col, f"{pane} microseconds").alias("__p")).agg(*aggs)
+        g = g.withColumn("__t", F.col("__p.start"))
+        g = g.groupBy(*keys, F.window("__t", size, slide).alias("__w")).agg(*_merge_aggs(value, carry, total))
+    else:
+        g = df.groupBy(*keys, F.window(time_col, size).alias("__w")).agg(*aggs)
     g = g.withColumn("__ws", F.col("__w.start")).withColumn("__we", F.col("__w.end"))
     return _finish(g, keys, "__ws", "__we", carry, value, total, with_avg)
 
@@ -122,11 +139,7 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
     edges = edges.withColumn("__gid", F.sum("__gnew").over(
         ew.rowsBetween(Window.unboundedPreceding, 0)))
     merge = [F.min("__start").alias("__start"), F.max("__last").alias("__last")]
-    if carry:
-        merge.append(F.min("__first").alias("__first"))
-    if value is not None:
-        merge.append(F.sum(total).cast("long").alias(total))
-    merge.append(F.sum("n").cast("long").alias("n"))
+    merge += _merge_aggs(value, carry, total)
     merged = edges.groupBy(*keys, "__gid").agg(*merge)
 
     cols = [*keys, "__start", "__last"] + (["__first"] if carry else []) \

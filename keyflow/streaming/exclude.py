@@ -4,8 +4,7 @@ The rule table is re-read at every micro-batch, so a rule added between
 batches applies from the next batch on (a rule only affects records that
 arrive after it, as in the reference).  Per-key running counts continue
 across batches through a counter table kept in the shared checkpoint
-folder: batch ``N`` reads the counters committed by the latest earlier
-batch, numbers its own surviving rows per key in arrival order (hot-key safe
+folder: batch ``N`` reads the counters that batch ``N - 1`` left, numbers its own surviving rows per key in arrival order (hot-key safe
 ordinal) and writes both its output and the new counters under
 ``epoch=N``, overwriting on replay, so a re-run batch gives the same result
 (exactly-once output without in-memory state).  The counter table has one
@@ -26,18 +25,21 @@ from keyflow.plans.scan import row_ordinal
 from keyflow.session import checkpoint_dir
 
 
-def _latest_counts(spark: SparkSession, state: str, epoch: int, key: str) -> DataFrame | None:
-    if not os.path.isdir(state) and "://" not in state:
-        return None
-    try:
-        all_counts = spark.read.parquet(state)
-    except Exception:  # noqa: BLE001 - nothing committed yet
-        return None
-    prev = all_counts.where(F.col("epoch") < epoch)
-    last = prev.agg(F.max("epoch").alias("e")).first()["e"]
-    if last is None:
+def _counts_before(spark: SparkSession, state: str, epoch: int, key: str) -> DataFrame | None:
+    """The counters that the batch before ``epoch`` left.
+
+    Exactly that batch's folder is read, and a failing read fails the batch
+    (Spark then replays it): counts never restart silently.
+    """
+    if epoch == 0:
         return None
-    return prev.where(F.col("epoch") == last).select(key, F.col("count").alias("__prev"))
+    return spark.read.parquet(f"{state}/epoch={epoch - 1}").select(
+        F.col(key).alias("__key"), F.col("count").alias("__prev"))
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def exclude_running_count_live(stream: DataFrame, load_rules: Callable[[SparkSession], DataFrame],
@@ -46,26 +48,29 @@ def exclude_running_count_live(stream: DataFrame, load_rules: Callable[[SparkSes
                                available_now: bool = False) -> StreamingQuery:
     """Start the query; output rows ``key, order..., count`` under ``out_path/epoch=N``."""
     base = checkpoint or os.path.join(checkpoint_dir(stream.sparkSession), "queries", name)
-    state = os.path.join(base, "counts")
+    state = f"{base.rstrip('/')}/counts"
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         kept = exclude(batch, load_rules(spark), id_col=id_col)
         numbered = row_ordinal(kept, [key], list(order), name="__rn")
-        prev = _latest_counts(spark, state, epoch_id, key)
+        prev = _counts_before(spark, state, epoch_id, key)
         if prev is not None:
-            numbered = numbered.join(prev, key, "left")
+            numbered = numbered.join(prev, F.col(key).eqNullSafe(F.col("__key")), "left")
         else:
             numbered = numbered.withColumn("__prev", F.lit(None).cast("long"))
         out = numbered.select(key, *order,
                               (F.coalesce(F.col("__prev"), F.lit(0)) + F.col("__rn")).alias("count"))
-        out.write.mode("overwrite").parquet(os.path.join(out_path, f"epoch={epoch_id}"))
-        batch_counts = out.groupBy(key).agg(F.max("count").alias("count"))
+        written = f"{out_path.rstrip('/')}/epoch={epoch_id}"
+        out.write.mode("overwrite").parquet(written)
+        # from the rows just written, so the batch is computed once
+        counts = spark.read.schema(out.schema).parquet(written).groupBy(key).agg(F.max("count").alias("count"))
         if prev is not None:
-            carried = prev.select(key, F.col("__prev").alias("count"))
-            batch_counts = carried.unionByName(batch_counts).groupBy(key).agg(
-                F.max("count").alias("count"))
-        batch_counts.write.mode("overwrite").parquet(os.path.join(state, f"epoch={epoch_id}"))
+            carried = prev.select(F.col("__key").alias(key), F.col("__prev").alias("count"))
+            counts = carried.unionByName(counts).groupBy(key).agg(F.max("count").alias("count"))
+        counts.write.mode("overwrite").parquet(f"{state}/epoch={epoch_id}")
+        if epoch_id > 1:  # a replay needs the batch before this one at most
+            _drop(spark, f"{state}/epoch={epoch_id - 2}")
 
     w = (stream.writeStream.foreachBatch(run)
          .option("checkpointLocation", os.path.join(base, "stream")).queryName(name))

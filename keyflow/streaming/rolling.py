@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyflow.plans.scan import as_long
+
 
 def rolling_update(df: DataFrame, key: str, value: str, kind: str,
                    order: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
@@ -28,7 +30,10 @@ def rolling_update(df: DataFrame, key: str, value: str, kind: str,
         g = df.groupBy(key).agg(*aggs)
         return g.select(key, *[F.col(f"__first.{c}").alias(c) for c in carry], f"{kind}_{value}")
     rec = F.struct(*[F.col(c) for c in carry])
-    cmp = F.struct(F.col(value), *[F.col(o) for o in order])
+    # ties go to the earliest record: for the maximum the order counts backwards
+    at = [as_long(df, o) for o in order]
+    cmp = F.struct(F.col(value), *(at if kind == "min_by" else [-o for o in at]))
+    cmp = F.when(F.col(value).isNotNull(), cmp)
     by = F.min_by if kind == "min_by" else F.max_by
     g = df.groupBy(key).agg(by(rec, cmp).alias("__held"), (F.min if kind == "min_by" else F.max)(value).alias(value))
     return g.select(key, *[F.col(f"__held.{c}").alias(c) for c in carry], value)

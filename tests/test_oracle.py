@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from keyflow import catalog
 from compare import same
 from conftest import SF_SMALL
 
@@ -25,10 +26,10 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
     want = con.execute(E.oracle_sql()[name]).df()
