@@ -62,6 +62,30 @@ def q_parse_profit(spark, d):
     return P.parse_profit(lines)
 
 
+@query("parse_profit_fields")
+def q_parse_profit_fields(spark, d):
+    lines = S.to_lines(S.profit(spark, d), ["date", "month", "category", "product", "profit"])
+    return P.parse_profit(lines, with_count=False)
+
+
+def employee_lines(spark, d) -> DataFrame:
+    """Employee lines ``id,name,mail,department`` (one per customer)."""
+    name = F.concat(F.lit("n"), F.col("id").cast("string"))
+    return S.to_lines(S.employees(spark, d), ["id", name, F.concat(name, F.lit("@x")), "department"])
+
+
+@query("parse_employees")
+def q_parse_employees(spark, d):
+    return P.parse_employee(employee_lines(spark, d))
+
+
+@query("tuple_text_trips")
+def q_tuple_text_trips(spark, d):
+    from keyflow.functions.text import tuple_text
+    t = S.trips(spark, d)
+    return t.select("id", tuple_text(["id", "license_plate", "ongoing", "pickup", "dropoff", "passengers"]).alias("text"))
+
+
 @query("parse_timed")
 def q_parse_timed(spark, d):
     from keyflow.functions.time import epoch_millis
@@ -133,6 +157,43 @@ query("rolling_sum")(_rolling("sum"))
 query("rolling_min")(_rolling("min"))
 query("rolling_max")(_rolling("max"))
 
+# The month is one key; the same operators over several keys of unequal size.
+TYPE_CARRY = ["month", "product"]
+
+
+@query("rolling_sum_by_category")
+def q_rolling_sum_by_category(spark, d):
+    return R.rolling_reduce(S.sales(spark, d), "category", "profit", "sum", SALES_ORDER, carry=TYPE_CARRY)
+
+
+@query("rolling_max_record_by_category")
+def q_rolling_max_record_by_category(spark, d):
+    return R.rolling_by(S.sales(spark, d), "category", "profit", SALES_ORDER,
+                        record=["event_id", "ts", "product", "profit"], kind="max")
+
+
+@query("count_trigger_by_category")
+def q_count_trigger_by_category(spark, d):
+    return C.count_trigger(S.sales(spark, d), "category", "profit", SALES_ORDER, every=5, carry=TYPE_CARRY)
+
+
+@query("tumbling_by_category")
+def q_tumbling_by_category(spark, d):
+    return W.window_reduce(S.sales(spark, d), "ts", KEYED_TUMBLE, keys=["category"], value="profit", order=SALES_ORDER,
+                           carry=TYPE_CARRY, total="profit_sum", with_avg=True)
+
+
+@query("sliding_by_category")
+def q_sliding_by_category(spark, d):
+    return W.window_reduce(S.sales(spark, d), "ts", *KEYED_SLIDE, keys=["category"], value="profit", order=SALES_ORDER,
+                           carry=TYPE_CARRY, total="profit_sum", with_avg=True)
+
+
+@query("session_by_category")
+def q_session_by_category(spark, d):
+    return W.sessions(S.sales(spark, d), "ts", SESSION_GAP, keys=["category"], value="profit", order=SALES_ORDER,
+                      carry=TYPE_CARRY, total="profit_sum", with_avg=True)
+
 
 def _rolling_by(kind):
     def q(spark, d):
@@ -325,6 +386,16 @@ def q_min_clicks_per_site(spark, d):
     return W.extreme_per_key(_click_counts(spark, d), "min", size=CLICK_WINDOW)
 
 
+@query("max_clicks_per_site_daily")
+def q_max_clicks_per_site_daily(spark, d):
+    return W.extreme_per_key(_click_counts(spark, d), "max", size="1 day")
+
+
+@query("min_clicks_per_site_daily")
+def q_min_clicks_per_site_daily(spark, d):
+    return W.extreme_per_key(_click_counts(spark, d), "min", size="1 day")
+
+
 @query("top_website")
 def q_top_website(spark, d):
     return W.extreme_key(_click_counts(spark, d), "max", size=CLICK_WINDOW)

@@ -12,10 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from keyflow.session import checkpoint_dir
 
 
+_DONE = "__kf_done"
+
+
 class IterationLimitError(RuntimeError):
     pass
 
@@ -37,14 +41,21 @@ def iterate(df: DataFrame, step: Callable[[DataFrame], DataFrame],
     live = df
     steps = 0
     while True:
+        parts: list[DataFrame] = []
         for _ in range(rounds_per_job):
-            finished.append(live.where(done(live)))
+            parts.append(live.where(done(live)).withColumn(_DONE, F.lit(True)))
             live = live.where(~done(live))
             if steps == max_iter:
                 break
             live = step(live)
             steps += 1
-        live = live.checkpoint(eager=True)
+        # finished rows are stored at each cut, with the live ones: no round is run again for the result
+        cut = live.withColumn(_DONE, F.lit(False))
+        for p in parts:
+            cut = cut.unionByName(p)
+        cut = cut.checkpoint(eager=True)
+        finished.append(cut.where(_DONE).drop(_DONE))
+        live = cut.where(f"NOT {_DONE}").drop(_DONE)
         if live.isEmpty():
             break
         if steps == max_iter:

@@ -83,11 +83,17 @@ SELECT {k}min(ts) AS window_start, make_timestamp(epoch_us(max(ts)) + {g}) AS wi
   {body} FROM t GROUP BY {k}sid"""
 
 
-def _rolling(kind: str) -> str:
-    return f"""SELECT month, ts, event_id,
-  first_value(category) OVER w AS category, first_value(product) OVER w AS product,
+def _rolling(kind: str, key: str = "month", first: str = "category") -> str:
+    return f"""SELECT {key}, ts, event_id,
+  first_value({first}) OVER w AS {first}, first_value(product) OVER w AS product,
   CAST({kind}(profit) OVER w AS {'BIGINT' if kind == 'sum' else 'INTEGER'}) AS {kind}_profit
-FROM ({SALES}) WINDOW w AS (PARTITION BY month ORDER BY ts, event_id {RUN})"""
+FROM ({SALES}) WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id {RUN})"""
+
+
+def _extreme_daily(kind: str, counts: str) -> str:
+    day = _us("1 day")
+    return f"""SELECT website, make_timestamp(d) AS window_start, make_timestamp(d + {day}) AS window_end, {kind}(clicks) AS clicks
+FROM (SELECT *, (epoch_us(window_start) // {day}) * {day} AS d FROM ({counts})) GROUP BY website, d"""
 
 
 def _rolling_by(kind: str) -> str:
@@ -254,4 +260,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, v, n FROM it WHERE v = 10""",
     }
     sql["website_metrics_merge"] = sql["website_metrics"]
+    sql |= {
+        "parse_profit_fields": f"SELECT month, category, product, profit FROM ({PROFIT})",
+        "parse_employees": f"""SELECT CAST(id AS VARCHAR) AS id, department,
+            id || ',n' || id || ',n' || id || '@x,' || department AS line FROM ({EMPLOYEES})""",
+        "tuple_text_trips": f"""SELECT id, '(' || id || ',' || license_plate || ',' || CASE WHEN ongoing THEN 'true' ELSE 'false' END
+            || ',' || coalesce(pickup, 'null') || ',' || coalesce(dropoff, 'null') || ',' || passengers || ')' AS text FROM ({TRIPS})""",
+        "rolling_sum_by_category": _rolling("sum", "category", "month"),
+        "rolling_max_record_by_category": f"""SELECT category, ts AS at_ts, event_id AS at_event_id, h.e AS event_id, h.t AS ts,
+            h.product AS product, h.v AS profit
+            FROM (SELECT *, max({{'v': profit, 'o0': -epoch_us(ts), 'o1': -event_id, 'e': event_id, 't': ts, 'product': product}})
+                  OVER (PARTITION BY category ORDER BY ts, event_id {RUN}) AS h FROM ({SALES}))""",
+        "count_trigger_by_category": f"""SELECT category, rn, month, product, total, rn AS n FROM (
+            SELECT category, row_number() OVER w AS rn, first_value(month) OVER w AS month,
+              first_value(product) OVER w AS product, CAST(sum(profit) OVER w AS BIGINT) AS total
+            FROM ({SALES}) WINDOW w AS (PARTITION BY category ORDER BY ts, event_id {RUN})) WHERE rn % 5 = 0""",
+        "max_clicks_per_site_daily": _extreme_daily("max", _click_counts(Q.CLICK_WINDOW)),
+        "min_clicks_per_site_daily": _extreme_daily("min", _click_counts(Q.CLICK_WINDOW)),
+    }
+    by_category = SALES_BODY.replace("arg_min(category,", "arg_min(month,").replace("AS category", "AS month")
+    sql["tumbling_by_category"] = _tumbling(SALES, Q.KEYED_TUMBLE, "category", by_category)
+    sql["sliding_by_category"] = _sliding(SALES, *Q.KEYED_SLIDE, "category", by_category)
+    sql["session_by_category"] = _sessions(SALES, Q.SESSION_GAP, "category", by_category)
     return sql
