@@ -4,9 +4,8 @@ These are the streaming forms of the count windows and per-record counters
 whose batch forms live in ``keyflow.operators.counts`` / ``exclude``.  Each
 processor keeps only bounded state per key:
 
-* ``CountWindow``      window number, count and running reductions (and the
-                       open window's items as text for the list form: at
-                       most ``size - 1`` short strings);
+* ``CountWindow``      window number and the open window's numbers (at most
+                       ``size - 1``);
 * ``CountTrigger``     ordinal, running total, the first row's carry fields;
 * ``CountEvictor``     ordinal and the last ``keep`` rows;
 * ``RunningCount``     one counter;
@@ -30,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from keyflow.functions.number import is_whole
+
 
 def _collect(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
@@ -39,6 +40,44 @@ def _collect(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame
     return df.sort_values(list(order), kind="stable").reset_index(drop=True)
 
 
+class _Numbers:
+    """How a processor reads and keeps numbers: LONG for integer columns, DOUBLE otherwise.
+
+    A missing number counts as a row and takes no part in sums or extremes,
+    as in the batch operators; a reduction of none is missing itself.
+    """
+
+    def __init__(self, whole: bool = True):
+        self.ddl = "LONG" if whole else "DOUBLE"
+        self.np, self.py = (np.int64, int) if whole else (np.float64, float)
+        info = np.iinfo(np.int64) if whole else None
+        self.low, self.high = (info.min, info.max) if whole else (-np.inf, np.inf)
+
+    def read(self, values: Sequence) -> tuple[np.ndarray, np.ndarray]:
+        """Values (0 where missing), and which are there."""
+        there = pd.notna(pd.Series(values, dtype=object)).to_numpy()
+        out = np.zeros(len(there), dtype=self.np)
+        out[there] = [self.py(x) for x, ok in zip(values, there) if ok]
+        return out, there
+
+    def maybe(self, values: np.ndarray, there: np.ndarray) -> list:
+        return [self.py(x) if ok else None for x, ok in zip(values, there)]
+
+
+_WHOLE_DDL = ("tinyint", "smallint", "int", "bigint")
+
+
+def _plain(df: pd.DataFrame, cols: Sequence[str], ddl: str) -> list[list]:
+    """Columns as Python values for state: missing ones as None, integers as int
+    (pandas turns integer columns with gaps into floats)."""
+    kinds = dict(x.split(" ", 1) for x in ddl.split(", ")) if cols else {}
+    out = []
+    for c in cols:
+        cast = int if kinds[c] in _WHOLE_DDL else (lambda x: x)
+        out.append([None if x is None or x is pd.NaT or x != x else cast(x) for x in df[c].tolist()])
+    return out
+
+
 def _key_frame(key_names: Sequence[str], key: tuple, n: int) -> dict:
     return {k: [v] * n for k, v in zip(key_names, key)}
 
@@ -46,61 +85,49 @@ def _key_frame(key_names: Sequence[str], key: tuple, n: int) -> dict:
 class CountWindow(StatefulProcessor):
     """Tumbling count window of ``size`` rows per key; emits full windows only.
 
-    Output: keys, ``win`` (0-based), one LONG column per reducer, and
-    ``items`` (the window's values as text, each preceded by a space) when
-    ``as_text``.  A reduce over any associative function is ``reducers``.
+    Output: keys, ``win`` (0-based), one column per reducer (LONG or DOUBLE, as
+    the input), and ``items`` (the window's values as text, each preceded by a
+    space) when ``as_text``.  Full windows are reduced along an axis at once.
     """
 
     def __init__(self, key_names: Sequence[str], value: str, order: Sequence[str],
-                 size: int = 10, reducers: Sequence[str] = ("sum",), as_text: bool = False):
+                 size: int = 10, reducers: Sequence[str] = ("sum",), as_text: bool = False,
+                 whole: bool = True):
         self.key_names, self.value, self.order = list(key_names), value, list(order)
         self.size, self.reducers, self.as_text = size, list(reducers), as_text
+        self.num = _Numbers(whole)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState(
-            "acc", "win LONG, n LONG, sum LONG, min LONG, max LONG")
-        if self.as_text:
-            self.items = handle.getListState("items", "x STRING")
+        self.win = handle.getValueState("win", "win LONG")
+        self.open = handle.getListState("open", f"x {self.num.ddl}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _collect(rows, self.order)
         if df.empty:
             return
-        win, n, s, lo, hi = self.acc.get() if self.acc.exists() else (0, 0, 0, None, None)
-        open_items = [r[0] for r in self.items.get()] if self.as_text and n else []
-        v = df[self.value].astype("int64").to_numpy()
-        out = {r: [] for r in self.reducers}
-        wins, texts = [], []
-        i = 0
-        while i < len(v):
-            take = min(self.size - n, len(v) - i)
-            chunk = v[i:i + take]
-            s += int(chunk.sum())
-            lo = int(chunk.min()) if lo is None else min(lo, int(chunk.min()))
-            hi = int(chunk.max()) if hi is None else max(hi, int(chunk.max()))
-            if self.as_text:
-                open_items.extend(str(x) for x in chunk)
-            n += take
-            i += take
-            if n == self.size:
-                wins.append(win)
-                for r in self.reducers:
-                    out[r].append({"sum": s, "min": lo, "max": hi}[r])
-                if self.as_text:
-                    texts.append(" " + " ".join(open_items))
-                win, n, s, lo, hi, open_items = win + 1, 0, 0, None, None, []
-        self.acc.update((win, n, s, lo, hi))
+        win = self.win.get()[0] if self.win.exists() else 0
+        kept = [r[0] for r in self.open.get()] if self.win.exists() else []
+        v, there = self.num.read(kept + df[self.value].tolist())
+        full = len(v) // self.size
+        cut = full * self.size
+        self.win.update((win + full,))
+        self.open.clear()
+        if cut < len(v):
+            self.open.put([(x,) for x in self.num.maybe(v[cut:], there[cut:])])
+        if not full:
+            return
+        v, there = v[:cut].reshape(full, self.size), there[:cut].reshape(full, self.size)
+        some = there.any(axis=1)
+        fns = {"sum": lambda: v.sum(axis=1),
+               "min": lambda: np.where(there, v, self.num.high).min(axis=1),
+               "max": lambda: np.where(there, v, self.num.low).max(axis=1)}
+        res = _key_frame(self.key_names, key, full)
+        res["win"] = win + np.arange(full, dtype="int64")
+        for r in self.reducers:
+            res[r] = self.num.maybe(fns[r](), some)
         if self.as_text:
-            self.items.clear()
-            if open_items:
-                self.items.put([(x,) for x in open_items])
-        if wins:
-            res = _key_frame(self.key_names, key, len(wins))
-            res["win"] = wins
-            res.update(out)
-            if self.as_text:
-                res["items"] = texts
-            yield pd.DataFrame(res)
+            res["items"] = [" " + " ".join(str(self.num.py(x)) for x, ok in zip(a, b) if ok) for a, b in zip(v, there)]
+        yield pd.DataFrame(res)
 
     def close(self) -> None:
         pass
@@ -112,12 +139,12 @@ class CountTrigger(StatefulProcessor):
     the first row's ``carry`` fields."""
 
     def __init__(self, key_names: Sequence[str], value: str, order: Sequence[str],
-                 every: int = 5, carry: Sequence[str] = (), carry_ddl: str = ""):
+                 every: int = 5, carry: Sequence[str] = (), carry_ddl: str = "", whole: bool = True):
         self.key_names, self.value, self.order = list(key_names), value, list(order)
-        self.every, self.carry, self.carry_ddl = every, list(carry), carry_ddl
+        self.every, self.carry, self.carry_ddl, self.num = every, list(carry), carry_ddl, _Numbers(whole)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "rn LONG, total LONG")
+        self.acc = handle.getValueState("acc", f"rn LONG, total {self.num.ddl}")
         if self.carry:
             self.first = handle.getValueState("first", self.carry_ddl)
 
@@ -130,19 +157,20 @@ class CountTrigger(StatefulProcessor):
             if self.first.exists():
                 first = tuple(self.first.get())
             else:
-                first = tuple(df.loc[0, c] for c in self.carry)
+                first = tuple(x[0] for x in _plain(df.iloc[:1], self.carry, self.carry_ddl))
                 self.first.update(first)
-        v = df[self.value].astype("int64").to_numpy()
+        v, there = self.num.read(df[self.value].tolist())
         rn = rn0 + np.arange(1, len(v) + 1, dtype="int64")
-        tot = t0 + np.cumsum(v)
-        self.acc.update((int(rn[-1]), int(tot[-1])))
+        seen = np.logical_or.accumulate(there) | (rn0 > 0 and t0 is not None)
+        tot = (t0 or 0) + np.cumsum(v)
+        self.acc.update((int(rn[-1]), self.num.py(tot[-1]) if seen[-1] else None))
         fire = rn % self.every == 0
         if fire.any():
             res = _key_frame(self.key_names, key, int(fire.sum()))
             res["rn"] = rn[fire]
             for i, c in enumerate(self.carry):
                 res[c] = [first[i]] * int(fire.sum())
-            res["total"] = tot[fire]
+            res["total"] = self.num.maybe(tot[fire], seen[fire])
             res["n"] = rn[fire]
             yield pd.DataFrame(res)
 
@@ -157,13 +185,14 @@ class CountEvictor(StatefulProcessor):
 
     def __init__(self, key_names: Sequence[str], value: str, order: Sequence[str],
                  every: int = 5, keep: int = 4, carry: Sequence[str] = (),
-                 carry_ddl: str = ""):
+                 carry_ddl: str = "", whole: bool = True):
         self.key_names, self.value, self.order = list(key_names), value, list(order)
         self.every, self.keep, self.carry, self.carry_ddl = every, keep, list(carry), carry_ddl
+        self.num = _Numbers(whole)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.rn = handle.getValueState("rn", "rn LONG")
-        ddl = "v LONG" + (", " + self.carry_ddl if self.carry else "")
+        ddl = f"v {self.num.ddl}" + (", " + self.carry_ddl if self.carry else "")
         self.buf = handle.getListState("buf", ddl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -173,13 +202,12 @@ class CountEvictor(StatefulProcessor):
         rn0 = self.rn.get()[0] if self.rn.exists() else 0
         kept = list(self.buf.get()) if rn0 else []
         # columns of (kept rows ++ this call's rows), as arrays
-        vals = np.concatenate([np.array([k[0] for k in kept], dtype="int64"),
-                               df[self.value].astype("int64").to_numpy()])
-        carry = [np.concatenate([np.array([k[1 + i] for k in kept], dtype=object),
-                                 df[c].to_numpy(dtype=object)])
-                 for i, c in enumerate(self.carry)]
+        vals, there = self.num.read([k[0] for k in kept] + df[self.value].tolist())
+        carry = [np.array([k[1 + i] for k in kept] + x, dtype=object)
+                 for i, x in enumerate(_plain(df, self.carry, self.carry_ddl))]
         base = rn0 - len(kept)  # ordinal of row 0 of the arrays is base + 1
-        csum = np.concatenate([[0], np.cumsum(vals)])
+        csum = np.concatenate([np.zeros(1, vals.dtype), np.cumsum(vals)])
+        some = np.concatenate([[0], np.cumsum(there)])
         rns = np.arange(rn0 + 1, rn0 + len(df) + 1, dtype="int64")
         fires = rns[rns % self.every == 0]
         if len(fires):
@@ -189,14 +217,14 @@ class CountEvictor(StatefulProcessor):
             res["rn"] = fires
             for i, c in enumerate(self.carry):
                 res[c] = carry[i][lo]
-            res["total"] = csum[hi] - csum[lo]
+            res["total"] = self.num.maybe(csum[hi] - csum[lo], some[hi] > some[lo])
             res["n"] = (hi - lo).astype("int64")
             yield pd.DataFrame(res)
         self.rn.update((int(rn0 + len(df)),))
         tail = slice(max(0, len(vals) - self.keep), len(vals))
         self.buf.clear()
-        self.buf.put([(int(v), *[carry[i][j] for i in range(len(self.carry))])
-                      for j, v in zip(range(tail.start, tail.stop), vals[tail])])
+        self.buf.put([(v, *[carry[i][j] for i in range(len(self.carry))])
+                      for j, v in zip(range(tail.start, tail.stop), self.num.maybe(vals[tail], there[tail]))])
 
     def close(self) -> None:
         pass
@@ -238,12 +266,12 @@ class RollingReduce(StatefulProcessor):
     """
 
     def __init__(self, key_names: Sequence[str], value: str, order: Sequence[str], kind: str,
-                 carry: Sequence[str] = (), carry_ddl: str = ""):
+                 carry: Sequence[str] = (), carry_ddl: str = "", whole: bool = True):
         self.key_names, self.value, self.order = list(key_names), value, list(order)
-        self.kind, self.carry, self.carry_ddl = kind, list(carry), carry_ddl
+        self.kind, self.carry, self.carry_ddl, self.num = kind, list(carry), carry_ddl, _Numbers(whole)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "v LONG")
+        self.acc = handle.getValueState("acc", f"v {self.num.ddl}")
         if self.carry:
             self.rec = handle.getValueState("rec", self.carry_ddl)
 
@@ -251,45 +279,49 @@ class RollingReduce(StatefulProcessor):
         df = _collect(rows, self.order)
         if df.empty:
             return
-        v = df[self.value].astype("int64").to_numpy()
-        have = self.acc.exists()
-        prev = self.acc.get()[0] if have else None
-        idx = np.arange(len(v))
+        v, there = self.num.read(df[self.value].tolist())
+        known = self.acc.exists()
+        prev = self.acc.get()[0] if known else None  # None: no number so far
         res = _key_frame(self.key_names, key, len(v))
         for o in self.order:
             res[f"at_{o}" if self.kind.endswith("_by") else o] = df[o].to_numpy()
         if self.kind in ("sum", "min", "max"):
-            op = {"sum": np.add, "min": np.minimum, "max": np.maximum}[self.kind]
-            run = op.accumulate(v)
-            if have:
-                run = op(run, prev) if self.kind != "sum" else run + prev
+            op, neutral = {"sum": (np.add, self.num.py(0)), "min": (np.minimum, self.num.high),
+                           "max": (np.maximum, self.num.low)}[self.kind]
+            run = op.accumulate(np.where(there, v, neutral))
+            seen = np.logical_or.accumulate(there)
+            if prev is not None:
+                run, seen = op(run, prev), np.ones(len(v), bool)
             if self.carry:
-                first = tuple(self.rec.get()) if have else tuple(df.loc[0, c] for c in self.carry)
-                if not have:
+                first = tuple(self.rec.get()) if known else tuple(
+                    x[0] for x in _plain(df.iloc[:1], self.carry, self.carry_ddl))
+                if not known:
                     self.rec.update(first)
                 for i, c in enumerate(self.carry):
                     res[c] = [first[i]] * len(v)
-            res[f"{self.kind}_{self.value}"] = run
-            self.acc.update((int(run[-1]),))
+            res[f"{self.kind}_{self.value}"] = self.num.maybe(run, seen)
+            self.acc.update((self.num.py(run[-1]) if seen[-1] else None,))
         else:
-            better = np.less if self.kind == "min_by" else np.greater
-            ext = np.minimum if self.kind == "min_by" else np.maximum
-            best_before = ext.accumulate(v)
-            best_before = np.concatenate([[prev if have else v[0]], best_before[:-1]])
-            if have:
-                best_before = ext(best_before, prev)
-            takes = better(v, best_before) | ((idx == 0) & (not have))
-            held = np.maximum.accumulate(np.where(takes, idx, -1))
-            old = tuple(self.rec.get()) if have else (None,) * len(self.carry)
+            # a row takes over if its number is there and beats all before it; ties keep the earliest
+            sign = 1 if self.kind == "max_by" else -1
+            worst = self.num.low if sign > 0 else self.num.high
+            best = (np.maximum if sign > 0 else np.minimum).accumulate(np.where(there, v, worst))
+            before = np.concatenate([[worst if prev is None else prev], best[:-1]]).astype(v.dtype)
+            if prev is not None:
+                before = (np.maximum if sign > 0 else np.minimum)(before, self.num.np(prev))
+            started = np.concatenate([[False], np.logical_or.accumulate(there)[:-1]]) | (prev is not None)
+            takes = there & (((v > before) if sign > 0 else (v < before)) | ~started)
+            held = np.maximum.accumulate(np.where(takes, np.arange(len(v)), -1))
+            old = tuple(self.rec.get()) if prev is not None else (None,) * len(self.carry)
+            rows_ = _plain(df, self.carry, self.carry_ddl)
             for i, c in enumerate(self.carry):
                 # index 0 is the record held before this call, then this call's rows
-                col = np.concatenate([np.array([old[i]], dtype=object),
-                                      df[c].to_numpy(dtype=object)])
-                res[c] = col[held + 1]
+                col = [old[i], *rows_[i]]
+                res[c] = [col[k + 1] for k in held]
             last = held[-1]
             if last >= 0:
-                self.acc.update((int(v[last]),))
-                self.rec.update(tuple(df.loc[int(last), c] for c in self.carry))
+                self.acc.update((self.num.py(v[last]),))
+                self.rec.update(tuple(x[last] for x in rows_))
         yield pd.DataFrame(res)
 
     def close(self) -> None:
@@ -306,14 +338,18 @@ def _schema(df: DataFrame, cols: Sequence[str], extra: Sequence[T.StructField])
     return T.StructType([df.schema[c] for c in cols] + list(extra))
 
 
+def _number(df: DataFrame, value: str) -> T.DataType:
+    return T.LongType() if is_whole(df, value) else T.DoubleType()
+
+
 def count_windows_stream(df: DataFrame, key: str, value: str, order: Sequence[str],
                          size: int = 10, reducers: Sequence[str] = ("sum",),
                          as_text: bool = False) -> DataFrame:
     extra = [T.StructField("win", T.LongType())]
-    extra += [T.StructField(r, T.LongType()) for r in reducers]
+    extra += [T.StructField(r, _number(df, value)) for r in reducers]
     if as_text:
         extra.append(T.StructField("items", T.StringType()))
-    proc = CountWindow([key], value, order, size, reducers, as_text)
+    proc = CountWindow([key], value, order, size, reducers, as_text, is_whole(df, value))
     return df.groupBy(key).transformWithStateInPandas(
         proc, _schema(df, [key], extra), "append", "None")
 
@@ -321,8 +357,8 @@ def count_windows_stream(df: DataFrame, key: str, value: str, order: Sequence[st
 def count_trigger_stream(df: DataFrame, key: str, value: str, order: Sequence[str],
                          every: int = 5, carry: Sequence[str] = ()) -> DataFrame:
     extra = [T.StructField("rn", T.LongType())] + [df.schema[c] for c in carry] + [
-        T.StructField("total", T.LongType()), T.StructField("n", T.LongType())]
-    proc = CountTrigger([key], value, order, every, carry, _ddl(df, carry))
+        T.StructField("total", _number(df, value)), T.StructField("n", T.LongType())]
+    proc = CountTrigger([key], value, order, every, carry, _ddl(df, carry), is_whole(df, value))
     return df.groupBy(key).transformWithStateInPandas(
         proc, _schema(df, [key], extra), "append", "None")
 
@@ -330,8 +366,8 @@ def count_trigger_stream(df: DataFrame, key: str, value: str, order: Sequence[st
 def count_evictor_stream(df: DataFrame, key: str, value: str, order: Sequence[str],
                          every: int = 5, keep: int = 4, carry: Sequence[str] = ()) -> DataFrame:
     extra = [T.StructField("rn", T.LongType())] + [df.schema[c] for c in carry] + [
-        T.StructField("total", T.LongType()), T.StructField("n", T.LongType())]
-    proc = CountEvictor([key], value, order, every, keep, carry, _ddl(df, carry))
+        T.StructField("total", _number(df, value)), T.StructField("n", T.LongType())]
+    proc = CountEvictor([key], value, order, every, keep, carry, _ddl(df, carry), is_whole(df, value))
     return df.groupBy(key).transformWithStateInPandas(
         proc, _schema(df, [key], extra), "append", "None")
 
@@ -351,10 +387,10 @@ def rolling_stream(df: DataFrame, key: str, value: str, order: Sequence[str], ki
         raise ValueError("carry must not repeat the key column")
     if kind in ("sum", "min", "max"):
         extra = [df.schema[o] for o in order] + [df.schema[c] for c in carry] + [
-            T.StructField(f"{kind}_{value}", T.LongType())]
+            T.StructField(f"{kind}_{value}", _number(df, value))]
     else:
         extra = [T.StructField(f"at_{o}", df.schema[o].dataType) for o in order] + [
             df.schema[c] for c in carry]
-    proc = RollingReduce([key], value, order, kind, carry, _ddl(df, carry))
+    proc = RollingReduce([key], value, order, kind, carry, _ddl(df, carry), is_whole(df, value))
     return df.groupBy(key).transformWithStateInPandas(
         proc, _schema(df, [key], extra), "append", "None")

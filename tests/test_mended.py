@@ -142,3 +142,37 @@ def test_live_extreme_and_average_per_key(spark, scratch):
     _run(SW.stream_int_avg_per_key(df, size="1 hour"), "append", "avgs")
     first = {r["website"]: r["avg_time_spent"] for r in spark.table("avgs").where("window_start < timestamp_seconds(1)").collect()}
     assert first == {"s0": 2, "s1": 3}
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_live_numbers_equal_batch_with_nulls_and_ties(spark, scratch, kind):
+    """Two files, a missing number first, ties, and doubles: live forms give the batch rows."""
+    import pandas as pd
+
+    from keyflow.streaming import processors as SP
+    vals = ["", "3", "3", "", "1.5" if kind == "double" else "1", "7", "7", "", "0", "2", "2", "9", ""]
+    lines = [f"k{i % 2},{i},{v},t{i}" for i, v in enumerate(vals * 3)]
+    _files(scratch, [lines[:17], lines[17:]])
+    schema = f"k string, ts long, v {kind}, tag string"
+    batch = spark.read.schema(schema).csv(scratch)
+    cases = {
+        "win": (SP.count_windows_stream, C.count_windows, dict(size=5, reducers=["sum", "min", "max"])),
+        "trig": (SP.count_trigger_stream, C.count_trigger, dict(every=3, carry=["tag"])),
+        "evict": (SP.count_evictor_stream, C.count_evictor, dict(every=4, keep=2, carry=["tag"])),
+    }
+    for name, (live, plain, args) in cases.items():
+        _run(live(_stream(spark, scratch, schema), "k", "v", ["ts"], **args), "append", f"n_{name}_{kind}")
+        got, want = spark.table(f"n_{name}_{kind}").toPandas(), plain(batch, "k", "v", ["ts"], **args).toPandas()
+        keys = ["k", "win" if name == "win" else "rn"]
+        pd.testing.assert_frame_equal(got.sort_values(keys)[list(want.columns)].reset_index(drop=True),
+                                      want.sort_values(keys).reset_index(drop=True), check_dtype=False)
+    for how in ("sum", "min", "max"):
+        _run(SP.rolling_stream(_stream(spark, scratch, schema), "k", "v", ["ts"], how), "append", f"r_{how}_{kind}")
+        got = spark.table(f"r_{how}_{kind}").toPandas().sort_values("ts").reset_index(drop=True)
+        want = R.rolling_reduce(batch, "k", "v", how, ["ts"]).toPandas().sort_values("ts").reset_index(drop=True)
+        pd.testing.assert_frame_equal(got[list(want.columns)], want, check_dtype=False)
+    for how in ("min", "max"):
+        _run(SP.rolling_stream(_stream(spark, scratch, schema), "k", "v", ["ts"], f"{how}_by", carry=["tag", "v"]), "append", f"b_{how}_{kind}")
+        got = spark.table(f"b_{how}_{kind}").toPandas().sort_values("at_ts").reset_index(drop=True)
+        want = R.rolling_by(batch, "k", "v", ["ts"], ["tag", "v"], how).toPandas().sort_values("at_ts").reset_index(drop=True)
+        pd.testing.assert_frame_equal(got[list(want.columns)], want, check_dtype=False)
