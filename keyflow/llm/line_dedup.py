@@ -11,7 +11,7 @@ it.  Matches are judged on the input, not on what is left.
 2. Lines with equal sets form a class, kept by its earliest line.
 3. Prefix filter: sets that match share one of their rarest tokens, so classes
    meet in a join on prefix tokens only, under the length and positional
-   filters and 64 parities of each set, which bound how many tokens they share.
+   filters and 128 parities of each set, which bound how many tokens they share.
 4. Copies and near copies make long posting lists.  So each class is first
    held against the head of each of its tokens' lists, from the earliest document; only classes that
    this does not remove meet all earlier classes of their tokens.  That is
@@ -91,10 +91,18 @@ def _can_match(x: str, y: str) -> Column:
     length = (UNDER * a >= OVER * b) & (UNDER * b >= OVER * a)
     most = F.least(i, j) + 1 + F.least(a - 1 - i, b - 1 - j)
     position = (OVER + UNDER) * most >= OVER * (a + b)
-    differ = F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits")))
+    differ = (F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits")))
+              + F.bit_count(F.col(f"{x}more").bitwiseXOR(F.col(f"{y}more"))))
     return length & position & ((OVER + UNDER) * differ <= (UNDER - OVER) * (a + b))
 
 
+def _parities(half: int) -> Column:
+    """For 64 cells, whether an odd number of the set's tokens fall into each."""
+    one = F.lit(1).cast("long")
+    return F.aggregate("tokens", F.lit(0).cast("long"), lambda b, t: F.when(
+        t.bitwiseAND(64) == half, b.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(63)))).otherwise(b))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Ids ``x`` of the pairs ``x, y`` whose full sets match, ``y`` being the earlier line."""
     cols = ("id", "doc_id", "line_no", "tokens")
@@ -109,13 +117,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def removed_classes(sets: DataFrame) -> DataFrame:
     """``x``: the id of every class whose earliest line matches an earlier line."""
     prefix = F.col("n") - F.ceil(F.col("n") * OVER / UNDER).cast("int") + 1
-    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda b, t: b.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63))))
-    posted = sets.select("id", "doc_id", "n", bits.alias("bits"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
+    posted = sets.select("id", "doc_id", "n", _parities(0).alias("bits"), _parities(64).alias("more"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
     # one shuffle, written by token: list heads and both joins below read it in place
     lists = save_bucketed(posted.repartition("token"), "token")
-    heads = lists.groupBy("token").agg(F.count("*").alias("many"), F.min(F.struct("doc_id", "id", "n", "p", "bits")).alias("head"))
-    heads = heads.filter("many > 1").select("token", *[F.col(f"head.{c}").alias(f"head_{c}") for c in ("id", "n", "p", "bits")])
+    heads = lists.groupBy("token").agg(F.count("*").alias("many"), F.min(
+        F.struct("doc_id", "id", "n", "p", "bits", "more")).alias("head"))
+    heads = heads.filter("many > 1").select("token", *[F.col(f"head.{c}").alias(f"head_{c}") for c in ("id", "n", "p", "bits", "more")])
 
     first = lists.join(heads.hint("shuffle_hash"), "token").filter((F.col("id") != F.col("head_id")) & _can_match("", "head_"))
     found = save(_verified(first.select(F.col("id").alias("x"), F.col("head_id").alias("y")), sets))
@@ -126,7 +133,7 @@ def removed_classes(sets: DataFrame) -> DataFrame:
     cells = F.broadcast(save(gone.select(cell).distinct()))  # bounded: at most CELLS rows
     keyed = lists.withColumn("cell", cell)
     open_ = keyed.join(cells, "cell", "left_anti"), keyed.join(cells, "cell", "left_semi").join(gone, "id", "left_anti")
-    cols = ("id", "doc_id", "n", "p", "bits")
+    cols = ("id", "doc_id", "n", "p", "bits", "more")
     y = lists.select("token", *[F.col(c).alias(f"y{c}") for c in cols])
     for part in open_:
         x = part.select("token", *[F.col(c).alias(f"x{c}") for c in cols])
