@@ -30,7 +30,6 @@ rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
