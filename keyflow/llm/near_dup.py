@@ -39,8 +39,8 @@ from .graph import components
 
 BUCKETS, BAND, MANTISSA = 128, 4, 10
 EMPTY = -1
-#: a band key with more members is compared block by block
-BLOCK = 1000
+#: a band key with more members is compared inside tasks, in blocks of at most so many
+FEW, BLOCK = 32, 1000
 STANDARD_ERRORS = 5.0
 FILTER_BITS = 1 << 22
 
@@ -163,7 +163,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
     """
     t = percent / 100
     sized = members.withColumn("many", F.count("*").over(Window.partitionBy("key")))
-    few = sized.filter(F.col("many") <= BLOCK)
+    few = sized.filter(F.col("many") <= FEW)
     cols = ("id", "component", "n", "regs")
     n_bands = BUCKETS // BAND
     x = few.select("key", "band", *[F.col(c).alias(f"x{c}") for c in cols])
@@ -177,7 +177,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
 
     # larger keys: members in order of component, cut into blocks; every pair of blocks is one group
     order = Window.partitionBy("key").orderBy("component", "id")
-    many = sized.filter(F.col("many") > BLOCK).withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
+    many = sized.filter(F.col("many") > FEW).withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     last = F.floor((F.col("many") - 1) / BLOCK).cast("int")
     other = F.explode(F.sequence(F.lit(0), last)).alias("other")
     many = many.select("key", "band", *cols, "block", other).select(

@@ -147,6 +147,7 @@ def test_blocks_find_what_a_join_finds(spark, monkeypatch):
         base[(7 * d) % 120] = f"n{d}"
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     few = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs, 3, 85).collect()}
+    monkeypatch.setattr(near_dup, "FEW", 2)
     monkeypatch.setattr(near_dup, "BLOCK", 3)
     assert {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs, 3, 85).collect()} == few == dict.fromkeys(range(80), 0)
 
