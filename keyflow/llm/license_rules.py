@@ -56,9 +56,9 @@ LICENSES = [
     ("cc-by-nc-sa-3.0", "cc", "cc by nc sa 3 0"), ("cc-by-nc-sa-4.0", "cc", "cc by nc sa 4 0"),
     ("cc-by-nc-nd-3.0", "cc", "cc by nc nd 3 0"), ("cc-by-nc-nd-4.0", "cc", "cc by nc nd 4 0"),
     ("cc-by-any", "commons", "creative commons attribution( license)?"),
-    ("cc-by-sa-any", "commons", "creative commons attribution share ?alike( license)?"),
-    ("cc-by-nc-any", "commons", "creative commons attribution non ?commercial( license)?"),
-    ("cc-by-nd-any", "commons", "creative commons attribution no ?deriv(ative)?s( license)?"),
+    ("cc-by-sa-any", "commons", "creative commons attribution (sharealike|share alike)( license)?"),
+    ("cc-by-nc-any", "commons", "creative commons attribution (noncommercial|non commercial)( license)?"),
+    ("cc-by-nd-any", "commons", "creative commons attribution (no derivs|noderivs|no derivatives|noderivatives)( license)?"),
     ("cc-any", "commons", "creative commons( licen[cs]e)?"),
     ("mpl-1.0", "mozilla", "mozilla public license( version| v)? 1 0"),
     ("mpl-1.1", "mozilla", "mozilla public license( version| v)? 1 1"),
@@ -89,7 +89,7 @@ LICENSES = [
     ("ecl-2.0", "educational", "educational community license( version| v)?( 2 0)?"),
     ("ncsa", "illinois", "university of illinois ncsa( open source license)?"),
     ("psf-2.0", "python", "python software foundation license( version| v)?( 2)?"),
-    ("python-any", "python", "python license"), ("ruby", "ruby", "ruby license"), ("php-3.01", "php", "php license( version| v)?( 3 0 ?1)?"),
+    ("python-any", "python", "python license"), ("ruby", "ruby", "ruby license"), ("php-3.01", "php", "php license( version| v)?( 3 (0 1|01))?"),
     ("postgresql", "postgresql", "postgresql license"), ("openssl", "openssl", "openssl license"), ("curl", "curl", "curl license"),
     ("unlicense", "unlicense", "unlicense"), ("wtfpl", "public", "do what the [a-z]+ you want to public license"),
     ("w3c", "w3c", "w3c( software( notice and)?)? license"), ("icu", "icu", "icu license"), ("unicode", "unicode", "unicode license( agreement)?"),
