@@ -123,7 +123,7 @@ NOTICES = [
 
 #: every match of every rule holds one of these in the lower-cased raw text
 RAW_GATES = ("license", "licence", "spdx", "copyright", "copyleft", "reserved", "proprietary", "permission",
-             "redistribution", "warranty", "commons", "domain", "clause", "provided", "cc0")
+             "redistribution", "warranty", "commons", "domain", "clause", "provided", "cc0", "illinois")
 #: or this, where "cc" occurs at all
 CC_GATE = "cc[^0-9a-z]+by"
 
