@@ -55,7 +55,8 @@ class Encoder:
     cut and its chunks numbered column-wise; only chunks that this worker has not
     met are encoded.  Those of plain characters go through the same
     vocabulary as ranks (``ranks``), which gives the same ids faster; all
-    others, and texts with a space next to other white space, through ``path``.
+    others, and whole texts with a space next to other white space or with an
+    added token, through ``path``.
     """
 
     BLANK = "[\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
@@ -66,7 +67,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        #: contents of added tokens (such as the end of a text), which are cut out of a text before all else
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.fast = self._ranked(ranks) if ranks else None
         self.cache: dict[str, bytes] = {}
 
@@ -100,6 +102,8 @@ class Encoder:
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         column = pa.array(texts, pa.large_string())
         whole = pc.match_substring_regex(column, self.TOUCHING).to_numpy(zero_copy_only=False)
+        for token in self.added:
+            whole = whole | pc.match_substring(column, token).to_numpy(zero_copy_only=False)
         plain = np.flatnonzero(~whole)
         out: list = [None] * len(texts)
         for i, b in zip(np.flatnonzero(whole), self._encode([texts[i] for i in np.flatnonzero(whole)]), strict=True):
