@@ -56,13 +56,30 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % FOLDS == HELD_OUT
 
 
-def _stems(size: int) -> Column:
-    long = F.filter("words", lambda w: F.length(w) >= size)
+def _stems(words: str, size: int) -> Column:
+    long = F.filter(words, lambda w: F.length(w) >= size)
     return F.transform(long, lambda w: F.concat(F.substring(w, 1, size), F.lit("*")))
 
 
+def _features(words: str) -> Column:
+    return F.array_distinct(F.concat(words, *[_stems(words, k) for k in STEMS]))
+
+
+def _swapped(words: str) -> Column:
+    """The words with the identity terms swapped; null where they name no group."""
+    terms = F.array(*[F.lit(w) for w in SWAP])
+    others = F.create_map(*[F.lit(w) for pair in SWAP.items() for w in pair])
+    named = F.array_intersect(words, terms)
+    other = F.array_union(F.array_except(words, terms), F.transform(named, lambda w: F.element_at(others, w)))
+    return F.when(F.size(named) > 0, other)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """``doc_id, toxic, words`` (distinct) of at most ``max_rows`` labelled rows outside the held-out fold."""
+    """``doc_id, toxic, words, other`` of at most ``max_rows`` labelled rows outside the held-out fold.
+
+    ``words`` are the distinct words and their beginnings; ``other`` those of the
+    counterfactual, null where the text names no group.
+    """
     known = labels.select(labels["doc_id"].alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     known = known.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -70,7 +87,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS
     texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
     words = F.array_remove(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), NO_LETTER)), "")
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", words.alias("words"))
-    return rows.select("doc_id", "toxic", F.array_distinct(F.concat("words", *[_stems(k) for k in STEMS])).alias("words"))
+    rows = rows.withColumn("other", _swapped("words"))
+    return rows.select("doc_id", "toxic", _features("words").alias("words"), _features("other").alias("other"))
 
 
 def vocabulary(sample: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST_TEXTS) -> dict[str, int]:
@@ -123,11 +141,18 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     names = vocabulary(sample)
     spark = docs.sparkSession
     index = F.broadcast(spark.createDataFrame(sorted(names), "string").withColumnRenamed("value", "word"))
-    hits = sample.select("doc_id", "toxic", F.explode_outer("words").alias("word")).join(index.withColumn("known", F.lit(True)), "word", "left")
-    hits = hits.groupBy("doc_id", "toxic").agg(F.array_sort(F.collect_set(F.when(F.col("known"), F.col("word")))).alias("words"))
+    sides = F.array(F.struct(F.lit(False).alias("swapped"), F.col("words").alias("words")),
+                    F.struct(F.lit(True).alias("swapped"), F.col("other").alias("words")))
+    both = sample.select("doc_id", "toxic", F.col("other").isNotNull().alias("named"), F.explode(sides).alias("side"))
+    both = both.filter(F.col("named") | ~F.col("side.swapped"))
+    hits = both.select("doc_id", "toxic", "named", "side.swapped", F.explode_outer("side.words").alias("word"))
+    hits = hits.join(index.withColumn("known", F.lit(True)), "word", "left")
+    chosen = lambda side: F.array_sort(F.collect_set(F.when(F.col("known") & side, F.col("word"))))
+    hits = hits.groupBy("doc_id", "toxic").agg(
+        chosen(~F.col("swapped")).alias("words"), chosen(F.col("swapped")).alias("other"), F.max("named").alias("named"))
     found = sorted(hits.toArrow().to_pylist(), key=lambda x: (x["doc_id"], x["toxic"]))  # bounded: sample rows, chosen words
     rows = [sorted(names[w] for w in x["words"]) for x in found]
-    other = [sorted({names[SWAP.get(w, w)] for w in x["words"]}) for x in found]
+    other = [sorted(names[w] for w in x["other"]) if x["named"] else r for x, r in zip(found, rows, strict=True)]
     w, bias = fit(rows, other, np.array([x["toxic"] for x in found], dtype=float), len(names))
     return {name: float(w[i]) for name, i in names.items() if w[i]}, float(bias)
 
