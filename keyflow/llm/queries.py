@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, licenses, line_dedup, lm_score, near_dup, packing, quality, spelling, substring_dedup, toxicity, word_bpe
+from . import (align, decontaminate, html_text, licenses, line_dedup, lm_score, near_dup, packing, quality, spelling,
+               substring_dedup, toxicity, word_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op9_html_text": html_text.op9_html_text,
         "op10_lm_score": lm_score.op10_lm_score,
+        "op11_token_alignment": align.op11_token_alignment,
         "op12_word_bpe": word_bpe.op12_word_bpe,
         "op13_spelling_variants": spelling.op13_spelling_variants,
     }
