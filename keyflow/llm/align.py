@@ -57,7 +57,7 @@ RANGE_BYTES = 16_384
 #: neighbouring fragments composed by one call
 FAN = 8
 #: bytes of text aligned at a time (or one longer text)
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 #: chunks whose ids a worker keeps, and their longest; beyond it the memory starts anew (speed only)
 CACHE_CHUNKS, CACHE_CHARS = 200_000, 24
 

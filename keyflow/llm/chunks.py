@@ -44,4 +44,7 @@ def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     """``values[start[i]:start[i] + size[i]]`` for all ``i``, one after the other."""
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
-    return values[np.repeat(start - ends + size, size) + np.arange(total)]
+    kind = np.int32 if max(total, len(values)) < 2**31 else np.int64
+    at = np.repeat((start - ends + size).astype(kind), size)
+    at += np.arange(total, dtype=kind)
+    return values[at]

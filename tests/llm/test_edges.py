@@ -7,10 +7,11 @@ import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
-from test_oracle import duck, longs, same  # noqa: E402
+from test_text_oracle import duck, longs, same  # noqa: E402
 
-from keyflow.llm import (decontaminate, html_text, licenses, line_dedup, lm_score, near_dup, packing, quality,  # noqa: E402
-                         substring_dedup, toxicity)
+from keyflow.llm import (align, decontaminate, html_text, licenses, line_dedup, lm_score, near_dup, packing, quality,  # noqa: E402
+                         spelling, substring_dedup, toxicity, word_bpe)
+from keyflow.llm.common import save  # noqa: E402
 
 PROSE = " ".join(f"w{i % 97}x{i}" for i in range(60))
 LONG = " ".join(f"long{i % 5000}" for i in range(30_000))
@@ -52,12 +53,18 @@ def overlap(d):
     return decontaminate.matches(d, bench)
 
 
+def aligned(d):
+    paths = [packing.tokenizer_path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken")]
+    return align.weigh(save(align.align(d, *paths)), align.pair(*paths))
+
+
 OPERATORS = {
     "licenses": licenses.scan, "quality": quality.score_quality, "lines": line_dedup.removed_lines,
     "overlap": overlap, "packing": packed, "toxicity": tox, "substrings": substring_dedup.remove_repeats,
-    "near": near_dup.near_duplicates, "lm": lm_score.score,
+    "near": near_dup.near_duplicates, "lm": lm_score.score, "alignment": aligned,
+    "word bpe": lambda d: word_bpe.digests(d, packing.tokenizer_path("word_bpe_49k.json")), "spelling": spelling.variants,
 }
-PER_ROW = ("licenses", "quality", "toxicity", "substrings", "near", "lm")
+PER_ROW = ("licenses", "quality", "toxicity", "substrings", "near", "lm", "alignment", "word bpe")
 
 
 @pytest.mark.parametrize("name", sorted(OPERATORS))

@@ -5,7 +5,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(__file__))
 from test_methods import table, ws  # noqa: E402
-from test_oracle import duck  # noqa: E402
+from test_text_oracle import duck  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from keyflow.llm import line_dedup, near_dup, quality  # noqa: E402
