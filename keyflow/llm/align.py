@@ -33,7 +33,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,9 +56,9 @@ RANGE_BYTES = 16_384
 #: neighbouring fragments composed by one call
 FAN = 8
 #: bytes of text aligned at a time (or one longer text)
-SLICE_BYTES = 1_000_000
-#: chunks whose ids a worker keeps, and their longest; beyond it the memory starts anew (speed only)
-CACHE_CHUNKS, CACHE_CHARS = 200_000, 24
+SLICE_BYTES = 2_000_000
+#: chunks encoded as one text
+TOGETHER = 1_000
 
 DOCUMENT = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>"
 FRAGMENT = ("ok boolean, ended boolean, head_a array<int>, head_b array<int>, n_a long, n_b long, n_groups long, "
@@ -106,7 +105,6 @@ class Pair:
         self.a = Vocabulary(spelled_a)
         self.b = Vocabulary([self._piece(i) for i in range(self.pieces.get_piece_size())])
         self.codes = self._pairs()
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
 
     @staticmethod
     def _ranked(path: str):
@@ -139,28 +137,36 @@ class Pair:
         """Number of each id pair among all that can end together."""
         return np.searchsorted(self.codes, a * len(self.b.size) + b).astype(np.int32)
 
-    def _make(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        """A's ids of space and chunk, and B's of the chunk, before which B puts a space itself."""
-        out_a: list = [None] * len(chunks)
-        rest = []
-        for i, c in enumerate(chunks):
-            if self.fast is not None and _PLAIN.fullmatch(c):
-                out_a[i] = array("i", self.fast.encode_ordinary(" " + c)).tobytes()
-            else:
-                rest.append(i)
-        for i, e in zip(rest, self.tok.encode_batch([" " + chunks[i] for i in rest], add_special_tokens=False), strict=True):
-            out_a[i] = array("i", e.ids).tobytes()
-        found = self.pieces.encode(chunks, num_threads=1) if chunks else []
-        return [(a, array("i", b).tobytes()) for a, b in zip(out_a, found, strict=True)]
-
-    def _fetch(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache = {}
-        new = [c for c in chunks if c not in self.cache]
-        made = dict(zip(new, self._make(new), strict=True))
-        out = [made[c] if c in made else self.cache[c] for c in chunks]
-        self.cache.update((c, ids) for c, ids in made.items() if len(c) <= CACHE_CHARS)
-        return out
+    def _each(self, chunks: list[str], of_b: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and sizes of texts (A's: after a space each), encoded one by one."""
+        found = (self.pieces.encode(chunks, num_threads=1) if of_b else
+                 [e.ids for e in self.tok.encode_batch([" " + c for c in chunks], add_special_tokens=False)]) if chunks else []
+        sizes = np.array([len(x) for x in found], np.int64)
+        return np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum())), sizes
+
+    def _joined(self, chunks: list[str], ends: np.ndarray, of_b: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The same of chunks without spaces, encoded as one text and parted where their bytes end.
+
+        Both tokenizers begin a token at a space between two other characters, so
+        this gives the tokens of each.  ``ends``: the byte where each ends, a space before it.
+        """
+        text = " ".join(chunks)
+        if not of_b and (self.fast is None or not _PLAIN.fullmatch(text)):
+            return self._each(chunks, of_b)
+        v = self.b if of_b else self.a
+        flat = np.array(self.pieces.encode(text) if of_b else self.fast.encode_ordinary(" " + text), np.int32)
+        places = np.cumsum(v.size[flat])
+        at = np.searchsorted(places, ends)
+        if places[-1] != ends[-1] or not (places[at] == ends).all():  # a chunk is not spelled by its tokens
+            return self._each(chunks, of_b)
+        return flat, np.diff(at, prepend=-1)
+
+    def _chunks(self, chunks: list[str], of_b: bool) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(np.empty(0, np.int32), np.empty(0, np.int64))]
+        sizes = pc.binary_length(pa.array(chunks, pa.large_string())).to_numpy().astype(np.int64) + 1
+        for at in range(0, len(chunks), TOGETHER):
+            parts.append(self._joined(chunks[at:at + TOGETHER], np.cumsum(sizes[at:at + TOGETHER]), of_b))
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A's ids of all texts (each after a space), how many each text has, and the same for B.
@@ -177,16 +183,17 @@ class Pair:
         mine = np.repeat(~whole, counts)
         all_codes[mine] = codes
         all_codes[~mine] = len(names) + np.arange(int(whole.sum()))
-        made = self._fetch(names) + self._make(texts.filter(pa.array(whole)).to_pylist())
+        odd = texts.filter(pa.array(whole)).to_pylist()
         ends = np.concatenate(([0], np.cumsum(counts)))
         out = []
-        for side in (0, 1):
-            parts = [x[side] for x in made]
-            sizes = np.array([len(p) // 4 for p in parts], np.int64)
-            flat = np.frombuffer(b"".join(parts), np.int32).astype(np.int64)
+        for of_b in (False, True):
+            parts = [self._chunks(names, of_b), self._each(odd, of_b)]
+            flat = np.concatenate([p[0] for p in parts])
+            sizes = np.concatenate([p[1] for p in parts])
             n = sizes[all_codes]
             last = np.concatenate(([0], np.cumsum(n)))
-            out += [gather(flat, (np.cumsum(sizes) - sizes)[all_codes], n), last[ends[1:]] - last[ends[:-1]]]
+            out += [gather(flat, (np.cumsum(sizes) - sizes)[all_codes], n).astype(np.int64),
+                    last[ends[1:]] - last[ends[:-1]]]
         return tuple(out)
 
 
@@ -375,8 +382,9 @@ def align(docs: DataFrame, path_a: str, path_b: str, ranks: str | None = None, w
 
     size = F.coalesce(F.char_length("text"), F.lit(0))
     cut = _pieces(rows.where(size > long_chars), piece_chars)
-    return rows.where(size <= long_chars).mapInArrow(short, schema).unionByName(
-        _tree(_fragments(cut, path_a, path_b, ranks, range_bytes)).mapInArrow(whole, schema))
+    # each stage runs one Python function a task, so that an executor keeps no more workers than it has cores
+    composed = save(_tree(_fragments(cut, path_a, path_b, ranks, range_bytes)))
+    return rows.where(size <= long_chars).mapInArrow(short, schema).unionByName(composed.mapInArrow(whole, schema))
 
 
 def _cut(text: str, size: int) -> Iterator[str]:
