@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from keyflow import sources as S
 from keyflow.functions import parse as P
+from keyflow.functions import rejects as RJ
 from keyflow.operators import aggregates as AG
 from keyflow.operators import counts as C
 from keyflow.operators import exclude as X
 from keyflow.operators import filters as FL
 from keyflow.operators import lateness as L
+from keyflow.operators import parts as PT
+from keyflow.operators import reduce as RD
 from keyflow.operators import rolling as R
 from keyflow.operators import windows as W
 from keyflow.operators.iterate import iterate
@@ -116,6 +119,93 @@ def q_parse_clicks(spark, d):
     return P.parse_click(lines, keep=["event_id"])
 
 
+# --- dead letters ---------------------------------------------------------------
+
+def _damaged(lines: DataFrame, number: str) -> DataFrame:
+    """Lines of which some are cut short, hold a word in place of a number, or are missing."""
+    n = F.col(number)
+    last = F.regexp_replace("value", ",[^,]*$", "")
+    return lines.withColumn("value", F.when(n % 7 == 0, last).when(n % 11 == 0, F.concat(last, F.lit(",abc")))
+                            .when(n % 13 == 0, F.lit("")).when(n % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("value")))
+
+
+def checked_clicks(spark, d) -> DataFrame:
+    lines = S.to_lines(S.clicks(spark, d), CLICK_FIELDS, keep=["event_id"])
+    return RJ.check(_damaged(lines, "event_id"), RJ.CLICK, keep=["event_id"])
+
+
+@query("rejected_clicks")
+def q_rejected_clicks(spark, d):
+    return RJ.rejected(checked_clicks(spark, d), keep=["event_id"])
+
+
+@query("accepted_clicks")
+def q_accepted_clicks(spark, d):
+    return RJ.accepted(checked_clicks(spark, d))
+
+
+@query("rejected_trips")
+def q_rejected_trips(spark, d):
+    lines = trip_lines(spark, d).select(F.split("value", ",")[0].cast("long").alias("trip"), "value")
+    return RJ.rejected(RJ.check(_damaged(lines, "trip"), RJ.TRIP, keep=["trip"]), keep=["trip"])
+
+
+# --- output parts by bytes and age ------------------------------------------------
+
+PART_BYTES = 65_536
+SALES_PART_BYTES = 2_048
+PART_AGE = "6 hours"
+
+
+@query("rolled_parts_documents")
+def q_rolled_parts_documents(spark, d):
+    """Lines of very uneven width (whole documents) in parts of at most 64 KB."""
+    docs = S.table(spark, d, "documents").select("doc_id", F.col("text").alias("line"))
+    parts = PT.assign_parts(docs, "line", ["doc_id"], PART_BYTES)
+    return PT.part_sizes(parts, "doc_id")
+
+
+@query("rolled_parts_sales")
+def q_rolled_parts_sales(spark, d):
+    """Tuple-text lines per category in parts of at most 2 KB and six hours."""
+    from keyflow.functions.text import tuple_text
+    sales = S.sales(spark, d).withColumn("line", tuple_text(["month", "category", "product", "profit"]))
+    parts = PT.assign_parts(sales, "line", SALES_ORDER, SALES_PART_BYTES, keys=["category"], time_col="ts", max_age=PART_AGE)
+    return PT.part_sizes(parts, "event_id", keys=["category"])
+
+
+# --- reducers of the caller -------------------------------------------------------
+
+MODULUS = 1_000_003
+
+
+def affine_maps(spark, d) -> DataFrame:
+    """Affine maps ``x -> a x + b`` (modulo a prime) per user and type: composing them is associative, not commutative."""
+    ev = S.table(spark, d, "events")
+    return ev.select("event_id", "ts", F.col("user_id").alias("key"), F.col("event_type").alias("category"),
+                     (F.col("user_id") % 97 + 2).cast("long").alias("a"), (F.col("event_id") % 101).cast("long").alias("b"))
+
+
+COMPOSE = RD.Reducer(
+    lambda f, g: (f[0] * g[0] % MODULUS, (f[1] * g[0] + g[1]) % MODULUS),
+    lambda f, g: F.struct(((f["a"] * g["a"]) % MODULUS).alias("a"), ((f["b"] * g["a"] + g["b"]) % MODULUS).alias("b")))
+
+
+@query("count10_composed")
+def q_count10_composed(spark, d):
+    return RD.count_windows_by(affine_maps(spark, d), "key", SALES_ORDER, ["a", "b"], COMPOSE, size=10)
+
+
+@query("composed_by_category")
+def q_composed_by_category(spark, d):
+    return RD.reduce_all(affine_maps(spark, d), ["category"], SALES_ORDER, ["a", "b"], COMPOSE)
+
+
+@query("composed_running_by_user")
+def q_composed_running(spark, d):
+    return RD.reduce_running(affine_maps(spark, d), ["key"], SALES_ORDER, ["a", "b"], COMPOSE)
+
+
 # --- filters and split ---------------------------------------------------------
 
 @query("filter_us")

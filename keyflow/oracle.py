@@ -113,6 +113,39 @@ def _count_windows(select: str) -> str:
   FROM ({NUMBERS})) GROUP BY key, win HAVING count(*) = 10"""
 
 
+AFFINE = """SELECT event_id, ts, user_id AS key, event_type AS category, CAST(user_id % 97 + 2 AS BIGINT) AS a,
+  CAST(event_id % 101 AS BIGINT) AS b FROM events"""
+TRIP_LINES = f"""SELECT id AS trip, id || ',' || license_plate || ',' || car_type || ',' || driver || ',' || CASE WHEN ongoing THEN 'yes' ELSE 'no' END
+  || ',' || coalesce(pickup, '''null''') || ',' || coalesce(dropoff, '''null''') || ','
+  || CASE WHEN passengers = 0 THEN '''null''' ELSE CAST(passengers AS VARCHAR) END AS value FROM ({TRIPS})"""
+
+
+def _damaged(lines: str, number: str) -> str:
+    last = "regexp_replace(value, ',[^,]*$', '')"
+    return f"""SELECT * REPLACE (CASE WHEN {number} % 7 = 0 THEN {last} WHEN {number} % 11 = 0 THEN {last} || ',abc'
+      WHEN {number} % 13 = 0 THEN '' WHEN {number} % 17 = 0 THEN NULL ELSE value END AS value) FROM ({lines})"""
+
+
+def _checked_clicks() -> str:
+    lines = f"""SELECT *, user_id || ',' || network || ',' || ip || ',' || country || ',' || website || ',' || time_spent AS value
+      FROM ({CLICKS})"""
+    return f"""SELECT *, CASE WHEN value IS NULL OR reject_cause IS NULL THEN NULL WHEN value = '' THEN 'network'
+      ELSE 'time_spent' END AS reject_field FROM (
+      SELECT *, CASE WHEN value IS NULL THEN 'no line' WHEN value = '' OR event_id % 7 = 0 THEN 'missing'
+        WHEN event_id % 11 = 0 THEN 'not int' END AS reject_cause FROM ({_damaged(lines, "event_id")}))"""
+
+
+def _parts(src: str, order: str, limit: int, keys: str) -> str:
+    """Parts of ``src`` (``n``, ``line``, ``period``): lines that begin in one cell of the endless file."""
+    half, k = limit // 2, f"{keys}, " if keys else ""
+    return f"""SELECT {k}period, part, count(*) AS rows, CAST(sum(bytes) AS BIGINT) AS bytes, min(n) AS first_row, max(n) AS last_row FROM (
+      SELECT *, CASE WHEN bytes <= {half} THEN 'n' || CAST((ends - bytes) // {limit - half} AS BIGINT) ELSE 'w' || CAST(wide - 1 AS BIGINT) END AS part
+      FROM (SELECT *, sum(CASE WHEN bytes <= {half} THEN bytes ELSE 0 END) OVER w AS ends,
+              sum(CASE WHEN bytes <= {half} THEN 0 ELSE 1 END) OVER w AS wide
+            FROM (SELECT *, coalesce(strlen(line), 0) + 1 AS bytes FROM ({src}))
+            WINDOW w AS (PARTITION BY {k}period ORDER BY {order} {RUN}))) GROUP BY {k}period, part"""
+
+
 def _click_counts(size: str) -> str:
     return _tumbling(US_CLICKS, size, "website", "count(*) AS clicks")
 
@@ -147,6 +180,7 @@ def _late_rows(bound: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     from keyflow import catalog as Q
+    compose = f"lambda f, g: {{'a': (f.a * g.a) % {Q.MODULUS}, 'b': (f.b * g.a + g.b) % {Q.MODULUS}}}"
 
     late = _late_base(Q.LATE_BOUND).replace("{w}", str(_us(Q.LATE_WINDOW)))
     sql = {
@@ -278,6 +312,29 @@ def oracle_sql() -> dict[str, str]:
         "max_clicks_per_site_daily": _extreme_daily("max", _click_counts(Q.CLICK_WINDOW)),
         "min_clicks_per_site_daily": _extreme_daily("min", _click_counts(Q.CLICK_WINDOW)),
     }
+    sql |= {
+        "rejected_clicks": f"""SELECT event_id, value AS reject_line, reject_field, reject_cause
+            FROM ({_checked_clicks()}) WHERE reject_cause IS NOT NULL""",
+        "accepted_clicks": f"""SELECT event_id, user_id, network, ip, country, website, time_spent
+            FROM ({_checked_clicks()}) WHERE reject_cause IS NULL""",
+        "rejected_trips": f"""SELECT trip, value AS reject_line,
+            CASE WHEN value IS NULL THEN NULL WHEN value = '' THEN 'license_plate' ELSE 'passengers' END AS reject_field,
+            CASE WHEN value IS NULL THEN 'no line' WHEN value = '' OR trip % 7 = 0 THEN 'missing' ELSE 'not int' END AS reject_cause
+            FROM ({_damaged(TRIP_LINES, "trip")}) WHERE trip % 7 = 0 OR trip % 11 = 0 OR trip % 13 = 0 OR trip % 17 = 0""",
+        "rolled_parts_documents": _parts("SELECT doc_id AS n, text AS line, CAST(0 AS BIGINT) AS period FROM documents", "n", Q.PART_BYTES, ""),
+        "rolled_parts_sales": _parts(
+            f"""SELECT event_id AS n, ts, category, '(' || month || ',' || category || ',' || product || ',' || profit || ')' AS line,
+                epoch_us(ts) // {_us(Q.PART_AGE)} AS period FROM ({SALES})""", "ts, n", Q.SALES_PART_BYTES, "category"),
+        "count10_composed": f"""SELECT key, win, f.a AS a, f.b AS b FROM (
+            SELECT key, win, list_reduce(list({{'a': a, 'b': b}} ORDER BY rn), {compose}) AS f FROM (
+              SELECT *, (rn - 1) // 10 AS win FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts, event_id) AS rn FROM ({AFFINE})))
+            GROUP BY key, win HAVING count(*) = 10)""",
+        "composed_by_category": f"""SELECT category, f.a AS a, f.b AS b FROM (
+            SELECT category, list_reduce(list({{'a': a, 'b': b}} ORDER BY ts, event_id), {compose}) AS f FROM ({AFFINE}) GROUP BY category)""",
+        "composed_running_by_user": f"""SELECT key, ts, event_id, f.a AS a, f.b AS b FROM (
+            SELECT key, ts, event_id, list_reduce(list({{'a': a, 'b': b}}) OVER (PARTITION BY key ORDER BY ts, event_id {RUN}), {compose}) AS f
+            FROM ({AFFINE}))""",
+    }
     by_category = SALES_BODY.replace("arg_min(category,", "arg_min(month,").replace("AS category", "AS month")
     sql["tumbling_by_category"] = _tumbling(SALES, Q.KEYED_TUMBLE, "category", by_category)
     sql["sliding_by_category"] = _sliding(SALES, *Q.KEYED_SLIDE, "category", by_category)

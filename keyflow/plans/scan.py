@@ -55,7 +55,7 @@ DEFAULT_ROWS_PER_BUCKET = 2_000_000
 ROWS_PER_BUCKET_CONF = "spark.keyflow.scan.rowsPerBucket"
 # Hot-key tables up to this many rows are fetched to the driver and broadcast.
 LOCAL_HOT_ROWS = 10_000
-# Slices of one key at most, at each of the two levels.
+# Slices that one pass cuts a key into at most; keys that need more are cut again, slice by slice.
 MAX_SLICES = 4096
 
 _B = "__kf_bucket"
@@ -153,20 +153,38 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
     Slices end at quantiles of each hot key's own rows, so outliers, bursts
     and backfills do not unbalance them.  Where one value of ``col`` alone
     fills several slices, its rows are sliced by the next order column
-    (``then[0]``), again at quantiles.  Returns the frame and an upper bound
-    of the number of ``(hot key, bucket)`` pairs.
+    (``then[0]``), again at quantiles.  A key that needs more than
+    ``MAX_SLICES`` slices is cut level by level: its slices are cut in the same
+    way as if they were keys, and the bucket is then a struct of the levels.
+    Returns the frame and an upper bound of the number of ``(hot key, bucket)``
+    pairs.
     """
+    keys = list(keys)
+    out, pairs, most = _cut(df, keys, col, rows_per_bucket, then)
+    level = 0
+    while most is not None:
+        up = f"__kf_up{level}"
+        upper = out.withColumnRenamed(_B, up)
+        out, more, left = _cut(upper, [*keys, up], col, rows_per_bucket, then)
+        out = out.select(*[out[c] for c in df.columns], F.struct(up, _B).alias(_B))
+        pairs, level = pairs + more, level + 1
+        most = left if left is not None and left < most else None  # rows equal in all order columns stay together
+    return out, pairs
+
+
+def _cut(df: DataFrame, keys: list[str], col: str, rows_per_bucket: int | None,
+         then: Sequence[str]) -> tuple[DataFrame, int, int | None]:
+    """One level of ``assign_buckets``; also the rows of the largest key if it needs a further level."""
     rpb = resolve_rows_per_bucket(df, rows_per_bucket)
     spark = df.sparkSession
     v = as_long(df, col)
-    keys = list(keys)
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rpb)
     # The hot-key table is at most n / rows_per_bucket rows.  Small (the usual
     # case: a handful of keys) it is fetched once; larger, it is materialized
     # in the shared checkpoint folder.
     rows = hot.limit(LOCAL_HOT_ROWS + 1).collect()
     if not rows:
-        return df.withColumn(_B, F.lit(0).cast("long")), 0
+        return df.withColumn(_B, F.lit(0).cast("long")), 0, None
     if len(rows) <= LOCAL_HOT_ROWS:
         hot, n_hot = spark.createDataFrame(rows, schema=hot.schema), len(rows)
         most, total = max(r["n"] for r in rows), sum(r["n"] for r in rows)
@@ -176,6 +194,7 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
         n_hot, most, total = hot.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
     slices = min(MAX_SLICES, max(2, math.ceil(most / rpb)))
     points = total // rpb + n_hot
+    again = most if most > MAX_SLICES * rpb else None
 
     def with_keys(side: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         return side.select(*[F.col(k).alias(f"__kf_h_{k}") for k in keys], *extra)
@@ -201,7 +220,7 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
         *keys, "__kf_v", F.size(F.filter("__kf_raw", lambda x: x == F.col("__kf_v"))).alias("times")).where("times > 1")
     ties = tied.agg(F.count(F.lit(1)).alias("k"), F.max("times").alias("most"), F.sum("times").alias("all")).first()
     if not ties["k"] or not then or not _sliceable(df, then[0]):
-        return out, int(pairs)
+        return out, int(pairs), again
     side = _bounded_side(with_keys(tied, [F.col("__kf_v").alias("__kf_tv"), "times"]), ties["k"])
     low = mine.join(side, _null_safe(mine, side, keys, "__kf_h_") & (mine["__kf_v"] == side["__kf_tv"]))
     low = low.groupBy(*[mine[k] for k in keys], "__kf_tv").agg(_quantiles(
@@ -214,7 +233,7 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], col: str,
     second = F.when(F.col("__kf_s2").isNull() | t.isNull(), F.lit(0).cast("long")).otherwise(_slice(F.col("__kf_s2"), t) + 1)
     width = 4 * MAX_SLICES
     return (j.select(*[out[c] for c in df.columns], (out[_B] * width + second).alias(_B)),
-            int(pairs + 2 * ties["all"] + 4 * ties["k"]))
+            int(pairs + 2 * ties["all"] + 4 * ties["k"]), again)
 
 
 def _sliceable(df: DataFrame, col: str) -> bool:

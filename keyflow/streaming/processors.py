@@ -394,3 +394,53 @@ def rolling_stream(df: DataFrame, key: str, value: str, order: Sequence[str], ki
     proc = RollingReduce([key], value, order, kind, carry, _ddl(df, carry), is_whole(df, value))
     return df.groupBy(key).transformWithStateInPandas(
         proc, _schema(df, [key], extra), "append", "None")
+
+
+class Reduced(StatefulProcessor):
+    """Any associative function of the caller over a key's rows, in arrival order.
+
+    ``size`` None: one output row per input, the reduction so far; else the reduction of
+    every full window of ``size`` rows.  State: the reduction, and how many rows it holds.
+    """
+
+    def __init__(self, key: str, values: Sequence[str], ddl: str, order: Sequence[str], merge, size: int | None):
+        self.key, self.values, self.ddl, self.order = key, list(values), ddl, list(order)
+        self.merge, self.size = merge, size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", f"{self.ddl}, rows LONG")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _collect(rows, self.order)
+        if df.empty:
+            return
+        got, n = None, 0
+        if self.acc.exists():
+            *got, n = self.acc.get()
+            got = tuple(got)
+        out, wins = [], []
+        for row in zip(*_plain(df, self.values, self.ddl), strict=True):
+            got = row if self.size and n % self.size == 0 or got is None else self.merge(got, row)
+            n += 1
+            if self.size is None:
+                out.append(got)
+            elif n % self.size == 0:
+                out.append(got)
+                wins.append(n // self.size - 1)
+        self.acc.update((*got, n))
+        if out:
+            res = _key_frame([self.key], key, len(out))
+            res |= {"win": wins} if self.size else {o: df[o].to_numpy() for o in self.order}
+            yield pd.DataFrame(res | {c: [x[i] for x in out] for i, c in enumerate(self.values)})
+
+    def close(self) -> None:
+        pass
+
+
+def reduced_stream(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str], merge,
+                   size: int | None = None) -> DataFrame:
+    """Live twin of ``operators.reduce``: ``merge(earlier, later)`` over tuples of the value columns."""
+    extra = [T.StructField("win", T.LongType())] if size else [df.schema[o] for o in order]
+    proc = Reduced(key, values, _ddl(df, values), order, merge, size)
+    return df.groupBy(key).transformWithStateInPandas(
+        proc, _schema(df, [key], [*extra, *[df.schema[v] for v in values]]), "append", "None")
