@@ -63,8 +63,11 @@ def _value(text: Column, f: Field) -> Column:
 
 def check(df: DataFrame, layout: Layout, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
     """``keep``, the layout's fields (null in a rejected line), ``reject_line``, ``reject_field`` and ``reject_cause``."""
-    parts = F.split(F.col(value), ",", -1)
-    bad = F.when(F.col(value).isNull(), F.struct(F.lit(None).cast("string").alias("f"), F.lit("no line").alias("c")))
+    # the line, its parts and the verdict each in a projection of its own: none is worked out twice
+    d = df.select(*keep, F.col(value).alias(LINE))
+    d = d.select("*", F.split(LINE, ",", -1).alias("__kf_parts"))
+    parts = F.col("__kf_parts")
+    bad = F.when(F.col(LINE).isNull(), F.struct(F.lit(None).cast("string").alias("f"), F.lit("no line").alias("c")))
     for f in sorted(layout.fields, key=lambda f: f.place):
         text = F.get(parts, F.lit(f.place))
         bad = bad.when(F.size(parts) <= f.place, F.struct(F.lit(f.name).alias("f"), F.lit("missing").alias("c")))
@@ -72,7 +75,7 @@ def check(df: DataFrame, layout: Layout, keep: Sequence[str] = (), value: str =
             wrong = text.try_cast(f.type).isNull()
             wrong = wrong & (text != NULL_TEXT) if f.nullable else wrong
             bad = bad.when(wrong, F.struct(F.lit(f.name).alias("f"), F.lit(f"not {f.type}").alias("c")))
-    d = df.select(*keep, F.col(value).alias(LINE), parts.alias("__kf_parts"), bad.alias("__kf_bad"))
+    d = d.select("*", bad.alias("__kf_bad"))
     good = F.col("__kf_bad").isNull()
     fields = [F.when(good, _value(F.get("__kf_parts", F.lit(f.place)), f)).alias(f.name) for f in layout.fields]
     return d.select(*keep, *fields, LINE, F.col("__kf_bad.f").alias(FIELD), F.col("__kf_bad.c").alias(CAUSE))
