@@ -69,7 +69,7 @@ def _ordered(rank: Column, h: Column) -> Column:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``id, doc_id, line_no, n, tokens``: each distinct set with its earliest line."""
+    """``id, doc_id, line_no, n, tokens, bits, more``: each distinct set with its earliest line and its parities."""
     rank = _rarity(docs)
     rows = _lines(docs).select("doc_id", "line_no", words(F.col("line")).alias("w"))
     rows = rows.select("doc_id", "line_no", F.sort_array(F.array_distinct(F.transform(
@@ -78,7 +78,8 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = rows.select(F.xxhash64("s").alias("id"), F.struct("doc_id", "line_no").alias("at"),
                        F.transform("s", lambda x: F.shiftright(x, 32).cast("int")).alias("tokens"))
     found = rows.groupBy("id").agg(F.min("at").alias("at"), F.first("tokens").alias("tokens"))
-    return save_bucketed(found.select("id", "at.doc_id", "at.line_no", F.size("tokens").alias("n"), "tokens"), "id")
+    return save_bucketed(found.select("id", "at.doc_id", "at.line_no", F.size("tokens").alias("n"), "tokens",
+                                      _parities(0).alias("bits"), _parities(64).alias("more")), "id")
 
 
 def _can_match(x: str, y: str) -> Column:
@@ -117,7 +118,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def removed_classes(sets: DataFrame) -> DataFrame:
     """``x``: the id of every class whose earliest line matches an earlier line."""
     prefix = F.col("n") - F.ceil(F.col("n") * OVER / UNDER).cast("int") + 1
-    posted = sets.select("id", "doc_id", "n", _parities(0).alias("bits"), _parities(64).alias("more"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
+    posted = sets.select("id", "doc_id", "n", "bits", "more", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
     # one shuffle, written by token: list heads and both joins below read it in place
     lists = save_bucketed(posted.repartition("token"), "token")
     heads = lists.groupBy("token").agg(F.count("*").alias("many"), F.min(
