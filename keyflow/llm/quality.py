@@ -129,20 +129,24 @@ def estimate(histogram: dict[str, int], rounds: int = EM_ROUNDS) -> dict[str, fl
     return post
 
 
-def _voted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``votes`` and ``base_failed``, and what EM says of each pair of these that occurs.
+def _voted(df: DataFrame) -> DataFrame:
+    """Rows with ``votes`` and ``base_failed``."""
+    # never null: a null check inferred for a join on them would copy the whole computation into a filter
+    return df.withColumn("votes", pattern()).withColumn("base_failed", F.coalesce(F.expr(BASE_FAILED), F.lit(True)))
+
+
+def _judged(df: DataFrame) -> DataFrame:
+    """What EM says of each pair of ``votes`` and ``base_failed`` that occurs.
 
     Bounded: at most 2 * 3 ** len(RULES) rows reach the driver, at any corpus size.
     """
-    # never null: a null check inferred for the join below would copy the whole computation into a filter
-    df = df.withColumn("votes", pattern()).withColumn("base_failed", F.coalesce(F.expr(BASE_FAILED), F.lit(True)))
     found = df.groupBy("votes", "base_failed").agg(F.count("*").alias("n")).collect()
     histogram: dict[str, int] = {}
     for r in found:
         histogram[r["votes"]] = histogram.get(r["votes"], 0) + r["n"]
     post = estimate(histogram)
     known = [(r["votes"], r["base_failed"], post[r["votes"]], not r["base_failed"] and post[r["votes"]] >= 0.5) for r in found]
-    return df, df.sparkSession.createDataFrame(known, "votes string, base_failed boolean, quality double, kept boolean")
+    return df.sparkSession.createDataFrame(known, "votes string, base_failed boolean, quality double, kept boolean")
 
 
 def score_quality(docs: DataFrame) -> DataFrame:
@@ -152,20 +156,21 @@ def score_quality(docs: DataFrame) -> DataFrame:
     rejects; otherwise a posterior of one half or more keeps.  The counts are
     written once, so the texts are read a single time.
     """
-    df, known = _voted(save(counts(docs)))
-    return df.join(F.broadcast(known), ["votes", "base_failed"], "left")
+    df = _voted(save(counts(docs)))
+    return df.join(F.broadcast(_judged(df)), ["votes", "base_failed"], "left")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``.
 
     The whole row travels as one struct, so clashing names and repeated ids
-    need no join back; the texts are read twice instead of being stored.
+    need no join back.  It is written once with its votes, so that the counts
+    are worked out a single time.
     """
     row = F.struct(*[docs[c] for c in docs.columns])
     both = docs.select(F.struct(row.alias("row")).alias("doc_id"), docs["text"].alias("text"))
-    df, known = _voted(counts(both))
-    good = known.filter("kept").select("votes", "base_failed")
+    df = save(_voted(counts(both)).select("doc_id", "votes", "base_failed"))
+    good = _judged(df).filter("kept").select("votes", "base_failed")
     return df.join(F.broadcast(good), ["votes", "base_failed"], "left_semi").select("doc_id.row.*")
 
 
