@@ -33,7 +33,7 @@ from .common import save, table
 CAPACITY = 1024
 END_ID = 2
 #: words whose ids a worker keeps; beyond it the memory starts anew (speed only)
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 #: characters encoded at a time
 BATCH_CHARS = 8_000_000
 #: pieces of one length ranked in one task
