@@ -14,8 +14,9 @@
 
 Edge cases: a null, empty or blank text is its end alone; without training
 documents all counts are 0 and the model stays at its start; rows without an id
-are not held out; of rows that repeat an id, each gets the mean of their rare
-words' part; an empty table gives no rows; extra columns are ignored.
+are not held out; each row of a repeated id is scored by its own text; an empty
+table gives no rows; texts of any length are read whole; tokens of equal count
+enter the vocabulary by their hash; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,8 +50,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    """Rows with ``d, h``, their id and a hash of their text: what rows with both equal share, each has."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"),
-                       held_out(docs["doc_id"]).alias("held_out"))
+                       held_out(docs["doc_id"]).alias("held_out"),
+                       F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("d"), F.xxhash64(docs["text"]).alias("h"))
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], limit: int = TOKENS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -189,14 +192,14 @@ def score(docs: DataFrame) -> DataFrame:
             rare = np.where(frequent & (symbol == 0), np.log10((n + 1) / rare_of), 0.0)
             model_part = gru.score(shared.params, shared.layout, symbol, sizes, shared.end)
             yield pa.RecordBatch.from_arrays([
-                rows.column("doc_id").combine_chunks(), rows.column("held_out").combine_chunks(), pa.array(sizes.astype(np.int64)),
+                *(rows.column(c).combine_chunks() for c in ("doc_id", "held_out", "d", "h")), pa.array(sizes.astype(np.int64)),
                 pa.array(np.bincount(text, frequent, len(sizes)).astype(np.int64)),
                 pa.array(np.bincount(text, base, len(sizes))),
                 pa.array(np.bincount(text, rare, len(sizes)) + model_part)],
-                ["doc_id", "held_out", "n_tokens", "known", "base", "score"])
+                ["doc_id", "held_out", "d", "h", "n_tokens", "known", "base", "score"])
 
     def rare_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Tokens whose counts are not at hand, with their number in the row."""
+        """Tokens whose counts are not at hand, with their number in the row; without token: the row itself."""
         _, names, _ = sent.value
         for rows, flat, sizes in _tokens(batches):
             at = np.minimum(np.searchsorted(names, flat), max(0, len(names) - 1))
@@ -206,22 +209,25 @@ def score(docs: DataFrame) -> DataFrame:
             text, flat = text[order], flat[order]
             new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (flat[1:] != flat[:-1])))) if len(flat) else np.empty(0, int)
             tf = np.diff(np.concatenate((new, [len(flat)])))
-            ids = rows.column("doc_id").to_numpy()
+            of = np.concatenate((text[new], np.arange(len(sizes))))
+            named = np.arange(len(of)) < len(new)
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[text[new]].astype(np.int64)), pa.array(flat[new].view(np.int64)), pa.array(tf.astype(np.int32))],
-                ["doc_id", "token", "tf"])
+                *(pa.array(rows.column(c).to_numpy()[of].astype(np.int64)) for c in ("d", "h")),
+                pa.array(np.concatenate((flat[new].view(np.int64), np.zeros(len(sizes), np.int64))), mask=~named),
+                pa.array(np.concatenate((tf, np.ones(len(sizes)))).astype(np.int32))],
+                ["d", "h", "token", "tf"])
 
-    out = _texts(docs).mapInArrow(read, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double")
-    has_id = _texts(docs).filter("doc_id IS NOT NULL").select("doc_id", "text")
-    rare = has_id.mapInArrow(rare_tokens, "doc_id long, token long, tf int").join(counts, "token", "left")
+    out = _texts(docs).mapInArrow(read, "doc_id long, held_out boolean, d long, h long, n_tokens long, known long, base double, score double")
+    rare = _texts(docs).select("d", "h", "text").mapInArrow(rare_tokens, "d long, h long, token long, tf int").join(counts, "token", "left")
     n = F.coalesce("c", F.lit(0))
-    rare = rare.groupBy("doc_id").agg(
-        F.sum(F.when(n > 0, F.col("tf")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("tf") * F.log10((n + 1) / F.lit(float(base_of)))).alias("more_base"),
-        F.sum(F.col("tf") * F.log10((n + 1) / F.lit(float(rare_of)))).alias("more_score"))
-    times = has_id.groupBy("doc_id").agg(F.count("*").alias("times"))
-    rare = rare.join(times, "doc_id")
-    out = out.join(rare, "doc_id", "left")
+    of_token = lambda c: F.sum(F.when(F.col("token").isNotNull(), c))
+    rare = rare.groupBy("d", "h").agg(
+        of_token(F.when(n > 0, F.col("tf")).otherwise(0)).alias("more_known"),
+        of_token(F.col("tf") * F.log10((n + 1) / F.lit(float(base_of)))).alias("more_base"),
+        of_token(F.col("tf") * F.log10((n + 1) / F.lit(float(rare_of)))).alias("more_score"),
+        # rows that repeat an id and its text added up: each gets its part
+        F.count(F.when(F.col("token").isNull(), 1)).alias("times"))
+    out = out.join(rare, ["d", "h"], "left")
     mean = lambda name: F.coalesce(F.col(name) / F.col("times"), F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + mean("more_known")).cast("long").alias("n_known"),

@@ -124,3 +124,24 @@ def test_html_edges(spark):
     out = html_text.extract(pages).toPandas()
     assert len(out) == 4 and sorted(out["n_chars"]) == [0, 0, 1, 399_999]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_an_id_are_scored_by_their_own_text(spark, monkeypatch):
+    import math
+    import zlib
+    from collections import Counter
+    monkeypatch.setattr(lm_score, "FREQUENT", 5)
+    monkeypatch.setattr(lm_score, "VOCABULARY", 5)
+    rows = [(i, "a b c d e " * 3 + f"rare{i // 2} zz") for i in range(60)]
+    rows += [(100, "zz rare1"), (100, "qq a b c d e"), (None, "rare3 zz"), (100, "zz rare1")]
+    train = [t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for t in train for w in [*t.split(), None])
+    most = sum(counts.values()) + 1 * (len(counts) + 1)
+
+    def base(text):
+        words = [*text.split(), None]
+        return len(words), sum(counts[w] > 0 for w in words), round(sum(math.log10((counts[w] + 1) / most) for w in words), 6)
+
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    told = sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got)
+    assert told == sorted((i or -1, *base(t)) for i, t in rows)
