@@ -18,8 +18,10 @@ none of the 32 bands with a chance of about 5e-11 (at 0.8, 6e-9).
 
 Edge cases: null, empty or blank texts have an empty set and are linked with
 nothing; texts shorter than a shingle are one shingle as a whole; rows that
-repeat an id share their links; rows without an id are linked with nothing;
-empty tables give empty results; extra columns are kept by ``keep_one``.
+repeat an id share their links, also where their texts differ; rows without an
+id are linked with nothing; the smallest id names a component, so there are no
+ties; texts of any length are read whole; empty tables give empty results;
+extra columns are kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -213,6 +215,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``."""
     rows = save(sketches(docs, size))
     known = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    if not known.select("doc_id", "a", "b", "n").distinct().groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return _by_row(docs, rows, size, percent)
     classes = save(known.groupBy("a", "b", "n").agg(F.min("doc_id").alias("id"), F.first("regs").alias("regs")))
     n_bands = BUCKETS // BAND
     bands = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda i: F.struct(
@@ -243,6 +247,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _by_row(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """``near_duplicates`` where an id has several texts: rows are linked first, then those that share an id."""
+    own = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text")).filter("id IS NOT NULL")
+    own = save(own.withColumn("row", F.monotonically_increasing_id()))
+    found = near_duplicates(own.select(F.col("row").alias("doc_id"), "text"), size, percent)
+    found = save(found.join(own.select("id", F.col("row").alias("doc_id")), "doc_id").select(
+        "id", "n_shingles", F.col("component_id").alias("group")))
+    linked = found.filter("n_shingles > 0")
+    least = linked.groupBy("id").agg(F.min("group").alias("y"))
+    joined = components(linked.select("id", F.col("group").alias("x")).join(least, "id").select("x", "y").distinct())
+    groups = linked.join(joined.select(F.col("id").alias("group"), "component"), "group", "left").select(
+        "id", "group", F.coalesce("component", "group").alias("whole"))
+    names = groups.groupBy("whole").agg(F.min("id").alias("component_id"))
+    names = groups.select("group", "whole").distinct().join(names, "whole").select("group", "component_id")
+    told = linked.join(names, "group").select("id", "n_shingles", "component_id").unionByName(
+        found.filter("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id")))
+    told = told.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    nobody = rows.filter("doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                                  F.lit(True).alias("kept"))
+    return told.unionByName(nobody)
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` less all but the smallest id of each component."""
     gone = save(near_duplicates(docs, size, percent).filter(~F.col("kept")).select("doc_id").distinct())

@@ -145,3 +145,12 @@ def test_rows_that_repeat_an_id_are_scored_by_their_own_text(spark, monkeypatch)
     got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     told = sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got)
     assert told == sorted((i or -1, *base(t)) for i, t in rows)
+
+
+def test_rows_that_repeat_an_id_join_their_components(spark):
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven twelve", "red green blue black white")
+    rows = [(3, a), (7, a), (7, b), (9, b), (7, ""), (12, c), (12, c), (None, a), (20, c + " x"), (20, None), (2, "")]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    told = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0, r["kept"]) for r in got)
+    assert told == sorted([(3, 4, 3, True), (7, 4, 3, False), (7, 4, 3, False), (9, 4, 3, False), (7, 0, 7, True), (12, 3, 12, True),
+                           (12, 3, 12, True), (0, 4, 0, True), (20, 4, 20, True), (20, 0, 20, True), (2, 0, 2, True)])
