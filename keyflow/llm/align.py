@@ -157,7 +157,7 @@ class Pair:
         flat = np.array(self.pieces.encode(text) if of_b else self.fast.encode_ordinary(" " + text), np.int32)
         places = np.cumsum(v.size[flat])
         at = np.searchsorted(places, ends)
-        if places[-1] != ends[-1] or not (places[at] == ends).all():  # a chunk is not spelled by its tokens
+        if not len(flat) or places[-1] != ends[-1] or not (places[at] == ends).all():  # a chunk is not spelled by its tokens
             return self._each(chunks, of_b)
         return flat, np.diff(at, prepend=-1)
 
