@@ -15,18 +15,23 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from keyflow.functions import parse as P
+from keyflow.functions import rejects as RJ
+from keyflow.functions.time import from_epoch_millis
 from keyflow.operators import aggregates as AG
 from keyflow.operators import counts as C
 from keyflow.operators import exclude as X
 from keyflow.operators import filters as FL
+from keyflow.operators import lateness as L
 from keyflow.operators import rolling as R
 from keyflow.operators import windows as W
 from keyflow.operators.iterate import iterate
 from keyflow.sources.sequence import sequence
-from keyflow.sources.text import read_lines
+from keyflow.sources.text import read_lines, with_line_number
 from keyflow.streaming import processors as SP
+from keyflow.streaming import timers as TM
 from keyflow.streaming.sinks import start_query, write_split, write_text
 
 ARRIVAL = "arrival"
@@ -108,14 +113,11 @@ def count_window_job(spark: SparkSession, in_dir: str, out_dir: str, size: int =
     """Live ``key,number`` lines -> sum of every ``size`` numbers per key
     (managed state, checkpointed: a restart resumes from the last batch).
 
-    Arrival order is (file, split start): rows of one split reach the
-    per-key processor in line order and its stable sort keeps that order."""
+    Arrival order is (file, place in the file's split)."""
     lines = read_lines(spark, in_dir, streaming=True, max_files_per_trigger=1)
-    rec = P.parse_keyed(lines.select("value",
-                                     F.col("_metadata.file_path").alias("file"),
-                                     F.col("_metadata.file_block_start").alias("pos")),
-                        keep=["file", "pos"])
-    out = SP.count_windows_stream(rec, "key", "num", ["file", "pos"], size=size)
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("pos"))
+    rec = P.parse_keyed(with_line_number(placed), keep=["file", "pos", "line"])
+    out = SP.count_windows_stream(rec, "key", "num", ["file", "pos", "line"], size=size)
     return start_query(out.select("sum"), os.path.join(out_dir, "sums"), "count_window_job",
                        available_now=available_now,
                        checkpoint=checkpoint or os.path.join(out_dir, "_checkpoint"))
@@ -145,19 +147,75 @@ def iteration_job(spark: SparkSession, out_dir: str, start: int = 0, end: int =
     write_text(out, os.path.join(out_dir, "iteration"))
 
 
+def _timed_profit(spark: SparkSession, in_path: str) -> DataFrame:
+    """Timed profit lines ``epoch_millis,month,category,product,profit`` with their arrival."""
+    parts = F.split("value", ",")
+    return with_arrival(read_lines(spark, in_path)).select(
+        from_epoch_millis(parts[0].cast("long")).alias("ts"), parts[1].alias("month"), parts[2].alias("category"),
+        parts[3].alias("product"), parts[4].cast("int").alias("profit"), ARRIVAL)
+
+
+_PROFIT = {"keys": ["month"], "value": "profit", "order": ["ts", ARRIVAL], "carry": ["category", "product"],
+           "total": "profit_sum", "with_avg": True}
+
+
 def tumbling_profit_job(spark: SparkSession, in_path: str, out_dir: str,
                         size: str = "2 seconds") -> None:
-    """Timed profit lines ``epoch_millis,month,category,product,profit`` ->
-    per-month tumbling-window profit sum, count and average."""
-    lines = with_arrival(read_lines(spark, in_path))
-    parts = F.split("value", ",")
-    from keyflow.functions.time import from_epoch_millis
-    rec = lines.select(from_epoch_millis(parts[0].cast("long")).alias("ts"),
-                       parts[1].alias("month"), parts[2].alias("category"),
-                       parts[3].alias("product"), parts[4].cast("int").alias("profit"), ARRIVAL)
-    out = W.window_reduce(rec, "ts", size, keys=["month"], value="profit", order=["ts", ARRIVAL],
-                          carry=["category", "product"], total="profit_sum", with_avg=True)
-    write_text(out, os.path.join(out_dir, "tumbling"))
+    """Timed profit lines -> per-month tumbling-window profit sum, count and average."""
+    write_text(W.window_reduce(_timed_profit(spark, in_path), "ts", size, **_PROFIT), os.path.join(out_dir, "tumbling"))
+
+
+def sliding_profit_job(spark: SparkSession, in_path: str, out_dir: str, size: str = "3 seconds",
+                       slide: str = "1 second") -> None:
+    """Timed profit lines -> per-month sliding-window profit sum, count and average."""
+    write_text(W.window_reduce(_timed_profit(spark, in_path), "ts", size, slide, **_PROFIT), os.path.join(out_dir, "sliding"))
+
+
+def session_profit_job(spark: SparkSession, in_path: str, out_dir: str, gap: str = "1 second") -> None:
+    """Timed profit lines -> per-month session profit sum, count and average."""
+    write_text(W.sessions(_timed_profit(spark, in_path), "ts", gap, **_PROFIT), os.path.join(out_dir, "session"))
+
+
+def late_session_job(spark: SparkSession, in_path: str, out_dir: str, gap: str = "1 second",
+                     bound: str = "3500 milliseconds") -> None:
+    """Timed number lines in arrival order -> sums of global sessions and, beside them, the late lines."""
+    rec = P.parse_timed(with_arrival(read_lines(spark, in_path)), keep=[ARRIVAL])
+    write_text(L.sessions_drop_late(rec, "ts", [ARRIVAL], gap, bound, "num"), os.path.join(out_dir, "sessions"))
+    late = L.late_rows(rec, "ts", [ARRIVAL], bound).where("late")
+    write_text(late.select("ts", "num"), os.path.join(out_dir, "late"))
+
+
+def count_evictor_job(spark: SparkSession, in_path: str, out_dir: str, every: int = 5, keep: int = 4) -> None:
+    """Profit lines -> per month, at every ``every``-th record the profit of the last ``keep``."""
+    rec = P.parse_profit(with_arrival(read_lines(spark, in_path)), keep=[ARRIVAL])
+    out = C.count_evictor(rec, "month", "profit", [ARRIVAL], every=every, keep=keep, carry=["category", "product"])
+    write_text(out, os.path.join(out_dir, "count_evictor"))
+
+
+def list_window_job(spark: SparkSession, in_path: str, out_dir: str, size: int = 10) -> None:
+    """``key,number`` lines -> the numbers of every ``size`` lines of a key, as text."""
+    rec = P.parse_keyed(with_arrival(read_lines(spark, in_path)), keep=[ARRIVAL])
+    out = C.count_windows(rec, "key", "num", [ARRIVAL], size, reducers=(), as_text=True)
+    write_text(out.select("items"), os.path.join(out_dir, "lists"))
+
+
+def click_windows_job(spark: SparkSession, in_dir: str, out_dir: str, size: str = "5 seconds",
+                      checkpoint: str | None = None) -> StreamingQuery:
+    """Live click lines -> US clicks and time spent per website and window of processing time, each written
+    once when its window is over, also if the input falls silent.  Runs until stopped."""
+    lines = read_lines(spark, in_dir, streaming=True)
+    us = FL.filter_country(P.parse_click(lines), "US")
+    out = TM.processing_windows(us, size, "time_spent", ["user_id"], key="website", total="total_time")
+    return start_query(out, os.path.join(out_dir, "click_windows"), "click_windows_job", interval="500 milliseconds",
+                       checkpoint=checkpoint or os.path.join(out_dir, "_checkpoint_click_windows"))
+
+
+def dead_letter_job(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Live click lines -> records, and lines that are none with field and cause, in one pass."""
+    checked = RJ.check(read_lines(spark, in_dir, streaming=True), RJ.CLICK)
+    parts = RJ.outputs()
+    return write_split(checked, parts, {k: os.path.join(out_dir, k) for k in parts}, "dead_letter_job",
+                       checkpoint=checkpoint or os.path.join(out_dir, "_checkpoint_dead_letters"), available_now=True)
 
 
 def count_trigger_job(spark: SparkSession, in_path: str, out_dir: str, every: int = 5) -> None:

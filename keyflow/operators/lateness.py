@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.plans.scan import Agg, prefix_scan
+from keyflow.plans.scan import Agg, assign_buckets, prefix_scan
 from keyflow.plans.time import interval_micros
 
 
@@ -58,8 +58,15 @@ def sessions_drop_late(df: DataFrame, time_col: str, arrival: Sequence[str], gap
                        bound: str, value: str, keys: Sequence[str] = (),
                        **scan_opts) -> DataFrame:
     """Session windows over the rows that are not late under ``bound`` (the
-    bounded out-of-orderness session job, replayed deterministically)."""
+    bounded out-of-orderness session job, replayed deterministically).
+
+    The slices of the session step are found on the input, before late rows are
+    dropped: they bound the rows that are left just as well, and the late-row
+    scan does not run once more for them.
+    """
     from keyflow.operators.windows import sessions
-    on_time = late_rows(df, time_col, arrival, bound, **scan_opts).where(~F.col("late"))
+    sliced, pairs = assign_buckets(df, list(keys), time_col, scan_opts.get("rows_per_bucket"))
+    sliced = sliced.withColumnRenamed("__kf_bucket", "__kf_slice")
+    on_time = late_rows(sliced, time_col, arrival, bound, **scan_opts).where(~F.col("late"))
     return sessions(on_time.drop("late", "watermark"), time_col, gap, keys=keys,
-                    value=value)
+                    value=value, bucket=F.col("__kf_slice"), pairs=pairs)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.functions.number import wide
-from keyflow.plans.scan import Agg, as_long, prefix_scan
+from keyflow.plans.scan import Agg, as_long, assign_buckets, prefix_scan
 
 
 def _first_struct(order: Sequence[str], carry: Sequence[str]) -> Column:
@@ -70,16 +70,17 @@ def running_sum_count(df: DataFrame, key: str, value: str, order: Sequence[str],
     return r.withColumn("running_avg", F.col("running_sum") / F.col("running_count"))
 
 
-def first_seen(df: DataFrame, key: str, item: str, order: Sequence[str],
-               out: str = "__new", **scan_opts) -> DataFrame:
-    """Add flag ``out``: 1 if this row is the first of its ``(key, item)`` pair.
+def first_seen(df: DataFrame, key: str, item: str, order: Sequence[str], out: str = "__new") -> DataFrame:
+    """Add flag ``out``: 1 if this row is the first of its ``(key, item)`` pair (a missing item: 0).
 
-    The pair's arrival ordinal comes from the hot-key safe prefix scan, so a
-    single pair holding a large share of the rows is still spread out.
+    The pairs' first places are aggregated map-side before they are shuffled, so
+    a pair holding a large share of the rows is one row of that side of the join.
     """
-    r = prefix_scan(df, [key, item], order, [Agg("__pair_rn", "sum", F.lit(1).cast("long"))],
-                    **scan_opts)
-    return r.withColumn(out, (F.col("__pair_rn") == 1).cast("long")).drop("__pair_rn")
+    firsts = df.where(F.col(item).isNotNull()).groupBy(F.col(key).alias("__kf_k"), F.col(item).alias("__kf_i")).agg(
+        F.min(F.struct(*order)).alias("__kf_first"))
+    on = F.col(key).eqNullSafe(F.col("__kf_k")) & (F.col(item) == F.col("__kf_i"))
+    return df.join(firsts, on, "left").select(
+        *[df[c] for c in df.columns], F.struct(*order).eqNullSafe(F.col("__kf_first")).cast("long").alias(out))
 
 
 def running_distinct(df: DataFrame, key: str, item: str, order: Sequence[str],
@@ -87,8 +88,10 @@ def running_distinct(df: DataFrame, key: str, item: str, order: Sequence[str],
     """Running number of distinct ``item`` per ``key`` after every row.
 
     Linear: first-seen flag, then a running sum; no set is held in memory
-    (the reference keeps every row of the key in list state).
+    (the reference keeps every row of the key in list state).  Hot keys are
+    sliced on the input, so the flags are worked out once.
     """
-    flagged = first_seen(df, key, item, order, **scan_opts)
-    r = prefix_scan(flagged, [key], order, [Agg(out, "sum", F.col("__new"))], **scan_opts)
+    sliced, pairs = assign_buckets(df, [key], order[0], scan_opts.get("rows_per_bucket"), then=order[1:])
+    flagged = first_seen(sliced.withColumnRenamed("__kf_bucket", "__kf_slice"), key, item, order)
+    r = prefix_scan(flagged, [key], order, [Agg(out, "sum", F.col("__new"))], bucket=F.col("__kf_slice"), pairs=pairs)
     return r.select(key, *order, item, out)

@@ -91,12 +91,13 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
              value: str | None = None, order: Sequence[str] = (),
              carry: Sequence[str] = (), total: str = "total", with_avg: bool = False,
              bucket: Column | None = None,
-             rows_per_bucket: int | None = None) -> DataFrame:
+             rows_per_bucket: int | None = None, pairs: int | None = None) -> DataFrame:
     """Session windows: a new session starts when the gap to the previous row
     of the key is *greater* than ``gap`` (rows exactly ``gap`` apart merge).
 
     Same rows as ``groupBy(keys, session_window(time_col, gap))``; window_end
-    is the last row's time + gap.
+    is the last row's time + gap.  ``bucket`` and ``pairs``: slices of
+    ``time_col`` found before (``plans.scan.assign_buckets``).
     """
     keys = list(keys)
     order = list(order) or [time_col]
@@ -106,7 +107,7 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
         d, pairs = assign_buckets(df, keys, time_col, rows_per_bucket)
         d = d.withColumnRenamed("__kf_bucket", "__b")
     else:
-        d, pairs = df.withColumn("__b", bucket), None
+        d = df.withColumn("__b", bucket)
 
     # 1. sessionize inside each (key, bucket) slice
     w = Window.partitionBy(*keys, "__b").orderBy(time_col, *[o for o in order if o != time_col])

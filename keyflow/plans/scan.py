@@ -247,12 +247,15 @@ def _sliceable(df: DataFrame, col: str) -> bool:
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 aggs: Sequence[Agg], bucket: Column | None = None,
                 inclusive: bool = True,
-                rows_per_bucket: int | None = None) -> DataFrame:
+                rows_per_bucket: int | None = None, pairs: int | None = None) -> DataFrame:
     """Add one column per ``Agg``: its running value per key in ``order``.
 
     ``order`` names the arrival-order columns; together they must be unique
     within a key.  ``bucket`` (optional) must be non-decreasing along
     ``order``; by default hot keys are sliced on the first order column.
+    Where ``df`` is the result of other work, slice its input instead
+    (``assign_buckets``), carry the slices along and pass them here with
+    ``pairs``: the work is then not run once more to find them.
     ``inclusive=False`` gives the value over the rows strictly *before* each
     row.  Null keys form their own group.
     """
@@ -260,7 +263,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if bucket is None:
         d, pairs = assign_buckets(df, keys, order[0], rows_per_bucket, then=order[1:])
     else:
-        d, pairs = df.withColumn(_B, bucket), None
+        d = df.withColumn(_B, bucket)
 
     w_part = Window.partitionBy(*keys, _B).orderBy(*order)
     w_inc = w_part.rowsBetween(Window.unboundedPreceding, 0)

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # live sessions: a task merges its own rows before the exchange
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # state for the streaming processors (transformWithStateInPandas needs RocksDB)
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -70,10 +70,10 @@ def stream_sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str]
     """Session windows on a stream (append mode), with the first row's ``carry`` fields.
 
     Streaming sessions need a grouping key besides the window: a global
-    session gets a constant key, and each task merges its own rows into
-    sessions before the exchange, so only session rows meet in one task.
+    session gets a constant key.  Under ``session.DEFAULT_CONF`` each task merges
+    its own rows into sessions before the exchange, so only session rows meet in
+    one task; the caller's session settings are left as they are.
     """
-    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     d = with_event_time(df, time_col, "__t", bound)
     ks = list(keys)
     if not ks:
