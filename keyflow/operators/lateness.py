@@ -65,7 +65,8 @@ def sessions_drop_late(df: DataFrame, time_col: str, arrival: Sequence[str], gap
     scan does not run once more for them.
     """
     from keyflow.operators.windows import sessions
-    sliced, pairs = assign_buckets(df, list(keys), time_col, scan_opts.get("rows_per_bucket"))
+    sliced, pairs = assign_buckets(df, list(keys), time_col, scan_opts.get("rows_per_bucket"),
+                                   then=[a for a in arrival if a != time_col])
     sliced = sliced.withColumnRenamed("__kf_bucket", "__kf_slice")
     on_time = late_rows(sliced, time_col, arrival, bound, **scan_opts).where(~F.col("late"))
     return sessions(on_time.drop("late", "watermark"), time_col, gap, keys=keys,

@@ -104,7 +104,8 @@ def sessions(df: DataFrame, time_col: str, gap: str, keys: Sequence[str] = (),
     gap_us = interval_micros(gap)
     df = df.where(F.col(time_col).isNotNull())  # as session_window: no time, no session
     if bucket is None:
-        d, pairs = assign_buckets(df, keys, time_col, rows_per_bucket)
+        # rows on one time are cut by the next order column: their sessions meet again in step 3
+        d, pairs = assign_buckets(df, keys, time_col, rows_per_bucket, then=[o for o in order if o != time_col])
         d = d.withColumnRenamed("__kf_bucket", "__b")
     else:
         d = df.withColumn("__b", bucket)

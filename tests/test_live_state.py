@@ -432,3 +432,55 @@ def test_sessions_over_slices_of_slices(spark, monkeypatch):
     df = S.timed(spark, SF_SMALL)
     got = W.sessions(df, "ts", "10 minutes", value="num", rows_per_bucket=20).toPandas()
     assert same(got, W.session_reduce_simple(df, "ts", "10 minutes", value="num").toPandas())
+
+
+def test_sessions_with_most_rows_on_one_time(spark):
+    from keyflow.operators import windows as W
+    df = S.timed(spark, SF_SMALL).withColumn("ts", F.when(F.col("event_id") % 5 != 0, F.lit("2024-01-05 10:00:00").cast("timestamp_ntz"))
+                                             .otherwise(F.col("ts")))
+    got = W.sessions(df, "ts", "10 minutes", value="num", order=ORDER, carry=["event_id"], rows_per_bucket=20).toPandas()
+    assert same(got, W.session_reduce_simple(df, "ts", "10 minutes", value="num", order=ORDER, carry=["event_id"]).toPandas())
+    L_ = L.sessions_drop_late(df, "ts", ["event_id"], "10 minutes", "1 day", "num", rows_per_bucket=20).toPandas()
+    assert same(L_, L.sessions_drop_late(df, "ts", ["event_id"], "10 minutes", "1 day", "num").toPandas())
+
+
+# --- live forms of operators that had none ------------------------------------
+
+@pytest.mark.parametrize("keys", [["category"], []])
+def test_live_sliding_windows_equal_batch(spark, scratch, keys):
+    from keyflow.operators import windows as W
+    from keyflow.streaming import windows as SW
+    from test_streaming import _naive, _with_sentinel
+    like = S.sales(spark, SF_SMALL)
+    pdf = like.orderBy(*ORDER).toPandas()
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    _split_files(pdf, src, 3)
+    _split_files(_with_sentinel(pdf), src, 1, start=3)
+    _run(SW.stream_window_reduce(_stream(spark, src, like.schema), "ts", "3 hours", "1 hour", keys=keys, value="profit"),
+         out, out + "-ck")
+    want = W.window_reduce(like, "ts", "3 hours", "1 hour", keys=keys, value="profit").toPandas()
+    assert same(_naive(spark.read.parquet(out).toPandas()), want)
+
+
+def test_live_running_average_and_sequence(spark, scratch):
+    from keyflow.sources import sequence
+    from keyflow.streaming import rolling as SRL
+    like = S.sales(spark, SF_SMALL)
+    src = os.path.join(scratch, "in")
+    _split_files(like.orderBy(*ORDER).toPandas(), src, 3)
+    q = (SRL.running_avg_update(_stream(spark, src, like.schema), "category", "profit").writeStream.format("memory")
+         .queryName("running_avg").outputMode("complete").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r[0]: tuple(r)[1:] for r in spark.table("running_avg").collect()}
+    want = like.groupBy("category").agg(F.sum("profit"), F.count(F.lit(1)), F.avg("profit")).collect()
+    for r in want:
+        assert any(abs(x - r[3]) < 1e-6 for x in got[r[0]] if x is not None)
+    q = (sequence(spark, 3, 8, streaming=True, rows_per_batch=2).writeStream.format("memory").queryName("seq")
+         .trigger(processingTime="100 milliseconds").start())
+    try:
+        stop = time.time() + 60
+        while time.time() < stop and spark.table("seq").count() < 6:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert sorted(r["value"] for r in spark.table("seq").collect()) == [3, 4, 5, 6, 7, 8]
