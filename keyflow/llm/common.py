@@ -30,7 +30,9 @@ def save(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/keyflow-{uuid.uuid4().hex}"
     df.write.parquet(path)
     free_shuffles(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._keyflow_saved = (path, None)
+    return out
 
 
 def save_bucketed(df: DataFrame, key: str) -> DataFrame:
@@ -41,7 +43,19 @@ def save_bucketed(df: DataFrame, key: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
     df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
     free_shuffles(spark)
-    return spark.table(name)
+    out = spark.table(name)
+    out._keyflow_saved = (path, name)
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables written by ``save`` or ``save_bucketed`` once all that reads them has been written itself."""
+    for df in tables:
+        spark, (path, name) = df.sparkSession, df._keyflow_saved
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import forget, save
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = save(small.union(least).distinct())
+        before, edges = edges, save(small.union(least).distinct())
+        forget(before)
         was, mark = mark, edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if was == mark:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))

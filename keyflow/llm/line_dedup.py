@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_RE, save, save_bucketed, table, words
+from .common import SPACE, SPACE_RE, forget, save, save_bucketed, table, words
 
 #: Jaccard threshold as a fraction
 OVER, UNDER = 4, 5
@@ -126,12 +126,13 @@ def removed_classes(sets: DataFrame) -> DataFrame:
     heads = heads.filter("many > 1").select("token", *[F.col(f"head.{c}").alias(f"head_{c}") for c in ("id", "n", "p", "bits", "more")])
 
     first = lists.join(heads.hint("shuffle_hash"), "token").filter((F.col("id") != F.col("head_id")) & _can_match("", "head_"))
-    found = save(_verified(first.select(F.col("id").alias("x"), F.col("head_id").alias("y")), sets))
+    found = early = save(_verified(first.select(F.col("id").alias("x"), F.col("head_id").alias("y")), sets))
 
     # classes not removed so far; a bounded, broadcast table of hashed cells spares most of them the shuffle of an anti join
     cell = F.pmod(F.xxhash64("id"), F.lit(CELLS)).alias("cell")
     gone = found.select(F.col("x").alias("id"))
-    cells = F.broadcast(save(gone.select(cell).distinct()))  # bounded: at most CELLS rows
+    marked = save(gone.select(cell).distinct())
+    cells = F.broadcast(marked)  # bounded: at most CELLS rows
     keyed = lists.withColumn("cell", cell)
     open_ = keyed.join(cells, "cell", "left_anti"), keyed.join(cells, "cell", "left_semi").join(gone, "id", "left_anti")
     cols = ("id", "doc_id", "n", "p", "bits", "more")
@@ -140,7 +141,9 @@ def removed_classes(sets: DataFrame) -> DataFrame:
         x = part.select("token", *[F.col(c).alias(f"x{c}") for c in cols])
         pairs = x.join(y, "token").filter((F.col("xid") != F.col("yid")) & (F.col("ydoc_id") <= F.col("xdoc_id")) & _can_match("x", "y"))
         found = found.union(_verified(pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y")), sets))
-    return save(found)
+    out = save(found)
+    forget(lists, early, marked)
+    return out
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import save, table
+from .common import forget, save, table
 from .graph import components
 
 BUCKETS, BAND, MANTISSA = 128, 4, 10
@@ -236,8 +236,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     placed = shared.select("key", "band", "id", "n").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     members = placed.join(open_keys.select("key"), "key", "left_semi").join(classes.select("id", "regs"), "id")
-    more = _confirmed(save(_across(members, percent)), sets, percent)
-    final = components(save(links.union(more)))
+    across = save(_across(members, percent))
+    every = save(links.union(_confirmed(across, sets, percent)))
+    forget(shared, sets, across)
+    final = components(every)
+    forget(every)
 
     placed = classes.select("a", "b", "n", "id").join(final, "id", "left").select(
         "a", "b", "n", F.coalesce("component", "id").alias("component"))
