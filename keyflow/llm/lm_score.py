@@ -50,10 +50,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """Rows with ``d, h``, their id and a hash of their text: what rows with both equal share, each has."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"),
-                       held_out(docs["doc_id"]).alias("held_out"),
-                       F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("d"), F.xxhash64(docs["text"]).alias("h"))
+                       held_out(docs["doc_id"]).alias("held_out"))
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], limit: int = TOKENS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -158,6 +156,15 @@ def _averaged(copies: DataFrame, groups: int) -> DataFrame:
     return copies.repartition(groups).mapInPandas(run, "weight double, params binary")
 
 
+def rare_tokens(flat: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens of each text, how often each stands in it, and where each text's begin."""
+    order = np.lexsort((flat, text))
+    text, flat = text[order], flat[order]
+    new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (flat[1:] != flat[:-1])))) if len(flat) else np.empty(0, int)
+    ends = np.searchsorted(text[new], np.arange(n_texts + 1)).astype(np.int32)
+    return flat[new], np.diff(np.append(new, len(flat))), ends
+
+
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``."""
     spark = docs.sparkSession
@@ -191,48 +198,31 @@ def score(docs: DataFrame) -> DataFrame:
             base = np.where(frequent, np.log10((n + 1) / base_of), 0.0)
             rare = np.where(frequent & (symbol == 0), np.log10((n + 1) / rare_of), 0.0)
             model_part = gru.score(shared.params, shared.layout, symbol, sizes, shared.end)
+            names_, tf, ends = rare_tokens(flat[~frequent], text[~frequent], len(sizes))
             yield pa.RecordBatch.from_arrays([
-                *(rows.column(c).combine_chunks() for c in ("doc_id", "held_out", "d", "h")), pa.array(sizes.astype(np.int64)),
+                rows.column("doc_id").combine_chunks(), rows.column("held_out").combine_chunks(), pa.array(sizes.astype(np.int64)),
                 pa.array(np.bincount(text, frequent, len(sizes)).astype(np.int64)),
                 pa.array(np.bincount(text, base, len(sizes))),
-                pa.array(np.bincount(text, rare, len(sizes)) + model_part)],
-                ["doc_id", "held_out", "d", "h", "n_tokens", "known", "base", "score"])
-
-    def rare_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Tokens whose counts are not at hand, with their number in the row; without token: the row itself."""
-        _, names, _ = sent.value
-        for rows, flat, sizes in _tokens(batches):
-            at = np.minimum(np.searchsorted(names, flat), max(0, len(names) - 1))
-            other = names[at] != flat if len(names) else np.ones(len(flat), bool)
-            text, flat = np.repeat(np.arange(len(sizes)), sizes)[other], flat[other]
-            order = np.lexsort((flat, text))
-            text, flat = text[order], flat[order]
-            new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (flat[1:] != flat[:-1])))) if len(flat) else np.empty(0, int)
-            tf = np.diff(np.concatenate((new, [len(flat)])))
-            of = np.concatenate((text[new], np.arange(len(sizes))))
-            named = np.arange(len(of)) < len(new)
-            yield pa.RecordBatch.from_arrays([
-                *(pa.array(rows.column(c).to_numpy()[of].astype(np.int64)) for c in ("d", "h")),
-                pa.array(np.concatenate((flat[new].view(np.int64), np.zeros(len(sizes), np.int64))), mask=~named),
-                pa.array(np.concatenate((tf, np.ones(len(sizes)))).astype(np.int32))],
-                ["d", "h", "token", "tf"])
-
-    out = _texts(docs).mapInArrow(read, "doc_id long, held_out boolean, d long, h long, n_tokens long, known long, base double, score double")
-    rare = _texts(docs).select("d", "h", "text").mapInArrow(rare_tokens, "d long, h long, token long, tf int").join(counts, "token", "left")
+                pa.array(np.bincount(text, rare, len(sizes)) + model_part),
+                pa.ListArray.from_arrays(ends, names_.view(np.int64)), pa.ListArray.from_arrays(ends, tf.astype(np.int32))],
+                ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tokens", "tf"])
+
+    # written once with each row's rare tokens: the texts are not cut again for them, and row numbers stay the same
+    out = save(_texts(docs).mapInArrow(
+        read, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tokens array<long>, tf array<int>"
+    ).withColumn("row", F.monotonically_increasing_id()))
+    rare = out.select("row", F.explode(F.arrays_zip("tokens", "tf")).alias("z")).select("row", F.col("z.tokens").alias("token"), F.col("z.tf").alias("tf"))
     n = F.coalesce("c", F.lit(0))
-    of_token = lambda c: F.sum(F.when(F.col("token").isNotNull(), c))
-    rare = rare.groupBy("d", "h").agg(
-        of_token(F.when(n > 0, F.col("tf")).otherwise(0)).alias("more_known"),
-        of_token(F.col("tf") * F.log10((n + 1) / F.lit(float(base_of)))).alias("more_base"),
-        of_token(F.col("tf") * F.log10((n + 1) / F.lit(float(rare_of)))).alias("more_score"),
-        # rows that repeat an id and its text added up: each gets its part
-        F.count(F.when(F.col("token").isNull(), 1)).alias("times"))
-    out = out.join(rare, ["d", "h"], "left")
-    mean = lambda name: F.coalesce(F.col(name) / F.col("times"), F.lit(0.0))
+    rare = rare.join(counts, "token", "left").groupBy("row").agg(
+        F.sum(F.when(n > 0, F.col("tf")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("tf") * F.log10((n + 1) / F.lit(float(base_of)))).alias("more_base"),
+        F.sum(F.col("tf") * F.log10((n + 1) / F.lit(float(rare_of)))).alias("more_score"))
+    out = out.join(rare, "row", "left")
+    more = lambda name: F.coalesce(F.col(name), F.lit(0.0))
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + mean("more_known")).cast("long").alias("n_known"),
-        F.lit(n_all).cast("long").alias("train_tokens"), (F.col("base") + mean("more_base")).alias("base_score"),
-        (F.col("score") + mean("more_score")).alias("score"))
+        "doc_id", "held_out", "n_tokens", (F.col("known") + more("more_known")).cast("long").alias("n_known"),
+        F.lit(n_all).cast("long").alias("train_tokens"), (F.col("base") + more("more_base")).alias("base_score"),
+        (F.col("score") + more("more_score")).alias("score"))
 
 
 def op10_lm_score(spark, sf_dir):
