@@ -19,8 +19,8 @@ LICENSES = [
     ("apache-1.1", "apache", "apache( software)? license( version| v)? 1 1"),
     ("apache-2.0", "apache", "apache( software)? license( version| v)? 2( 0)?|apache 2 0 license"),
     ("apache-any", "apache", "apache( software)? license"),
-    ("agpl-1.0", "affero", "affero general public license( version| v)? 1( 0)?"),
-    ("agpl-3.0-or-later", "affero", "affero general public license( version| v)? 3( 0)? or( any)? later( version)?"),
+    ("agpl-1.0", "affero", "(gnu )?affero general public license( version| v)? 1( 0)?"),
+    ("agpl-3.0-or-later", "affero", "(gnu )?affero general public license( version| v)? 3( 0)? or( any)? later( version)?"),
     ("agpl-3.0", "affero", "(gnu )?affero general public license( version| v)? 3( 0)?"),
     ("agpl-any", "affero", "(gnu )?affero general public license"),
     ("lgpl-2.0", "general", "(gnu )?library general public license( version| v)?( 2( 0)?)?"),
@@ -105,6 +105,52 @@ LICENSES = [
     ("etalab-2.0", "etalab", "etalab open license( version| v)?( 2 0)?"), ("ogl-uk-3.0", "government", "open government licence( version| v)?( 3 0)?"),
 ]
 
+# Names and versions in the order in which a licence writes them.
+_GNU = [("agpl", "affero", "affero general", ["3"]), ("lgpl", "lesser", "lesser general", ["2 1", "3"]),
+        ("gpl", "general", "general", ["2", "3"])]
+_CC = [("by-nc-sa", "(noncommercial|non commercial) (sharealike|share alike)"),
+       ("by-nc-nd", "(noncommercial|non commercial) (noderivatives|no derivatives|noderivs|no derivs)"),
+       ("by-nc", "(noncommercial|non commercial)"), ("by-sa", "(sharealike|share alike)"),
+       ("by-nd", "(noderivatives|no derivatives|noderivs|no derivs)"), ("by", "")]
+_CC_VERSIONS = [("4 0", "international"), ("3 0", "unported"), ("2 5", "generic"), ("2 0", "generic"), ("1 0", "generic")]
+
+
+def _version(digits: str) -> str:
+    return ".".join((digits + " 0" if " " not in digits else digits).split())
+
+
+def written_out() -> list[tuple[str, str, str]]:
+    """Label, gate word and pattern of licences told by a notice, a short name or their full text."""
+    out = []
+    for label, word, name, versions in _GNU:
+        for v in versions:
+            head = f"(gnu )?{name} public license as published by the free software foundation"
+            later = f"{label}-{_version(v)}-or-later"
+            out.append((later, word, f"{head}( either)? version {v}( 0)?( of the license)? or at your option any later version"))
+            out.append((f"{label}-{_version(v)}", word, f"{head} version {v}( 0)?( of the license)?"))
+            short = f"{label}v{v}"
+            out.append((later, short.split()[0], f"{short}( 0)? or( any)? later( version)?"))
+            out.append((f"{label}-{_version(v)}", short.split()[0], f"{short}( 0)?"))
+    for kind, more in _CC:
+        name = "attribution" + (f" {more}" if more else "")
+        for v, where in _CC_VERSIONS:
+            out.append((f"cc-{kind}-{_version(v)}", "attribution", f"(creative commons )?{name} {v} {where}( public)?( license)?"))
+            out.append((f"cc-{kind}-{_version(v)}", "attribution", f"creative commons {name}( license)?( version| v)? {v}"))
+    return out + [
+        # one side of an SPDX expression: only touches the other, so both are kept
+        ("mit", "mit", "(0|only|later|clause) (or|and) mit|mit (or|and) (apache|bsd|gpl|lgpl|mpl)"),
+        ("apache-2.0", "apache", "apache 2 0"),
+        ("mit", "obtaining", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+                             "documentation files the software to deal in the software without restriction"),
+        ("isc", "fee", "permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted"),
+        ("bsd-3-clause", "endorse", "neither the names?( of)?( [0-9a-z]+){1,16} may be used to endorse or promote products derived from this software"),
+        ("bsd-any", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted provided "
+                                      "that the following conditions are met"),
+        ("apache-2.0", "writing", "unless required by applicable law or agreed to in writing software distributed under the license is "
+                                  "distributed on an as is basis"),
+    ]
+
+
 #: label, word, pattern of notices that name no licence
 NOTICES = [
     ("public-domain", "domain", "(released|dedicated|placed|is) (in|into|to) the public domain"),
@@ -123,7 +169,8 @@ NOTICES = [
 
 #: every match of every rule holds one of these in the lower-cased raw text
 RAW_GATES = ("license", "licence", "spdx", "copyright", "copyleft", "reserved", "proprietary", "permission",
-             "redistribution", "warranty", "commons", "domain", "clause", "provided", "cc0", "illinois")
+             "redistribution", "warranty", "commons", "domain", "clause", "provided", "cc0", "illinois",
+             "attribution", "gplv", "apache", "endorse", " mit", "mit ")
 #: or this, where "cc" occurs at all
 CC_GATE = "cc[^0-9a-z]+by"
 
@@ -143,9 +190,12 @@ def _over_words(pattern: str) -> str:
 def rules() -> list[tuple[int, str, int, str, str]]:
     """Order, label, priority, gate word, regular expression; groups without capture."""
     out = []
-    for label, word, name in LICENSES:
-        tag = " ".join(re.findall(r"[0-9a-z]+", label))
-        out.append((label, 1, "spdx", f"spdx license identifier {tag}"))
+    for label, word, name in [*written_out(), *LICENSES]:
+        # a version may be one word with its "v"
+        name = re.sub(r"\( version\| v\)\? (\d)", r"(( version( v)?| v)? \1|( version)? v\1)", name)
+        if not label.endswith("-any") and (label, 1) not in {(r[0], r[1]) for r in out}:
+            tag = " ".join(re.findall(r"[0-9a-z]+", label))
+            out.append((label, 1, "spdx", f"spdx license identifier {tag}"))
         out.append((label, 2, word, f"{GRANT}({name})"))
         out.append((label, 3, word, name))
     out += [(label, 4, word, name) for label, word, name in NOTICES]

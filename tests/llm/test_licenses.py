@@ -69,3 +69,35 @@ def test_gates_cover_every_alternative_of_every_rule():
 def test_ncsa_without_another_gate_word(spark):
     texts = ["Released under the University of Illinois/NCSA.", "covered by University of Illinois NCSA terms"]
     assert found(spark, texts) == ["ncsa", "ncsa"]
+
+
+#: a sentence and the labels it must give, written apart from the rules
+SENTENCES = [
+    ("Licensed under the Apache License v2.0.", "apache,apache-2.0"),
+    ("Apache License, Version 2.0", "apache,apache-2.0"),
+    ("GNU General Public License v3", "gpl,gpl-3.0"),
+    ("GNU Lesser General Public License v2.1", "gpl,lgpl-2.1"),
+    ("GNU Affero General Public License version 3 or later", "agpl-3.0-or-later,gpl"),
+    ("this tool is GPLv3", "gpl-3.0"),
+    ("this tool is LGPLv2.1 or later", "lgpl-2.1-or-later"),
+    ("Apache-2.0 OR MIT", "apache-2.0,mit"),
+    ("you can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+     "either version 3 of the License, or (at your option) any later version.", "gpl,gpl-3.0-or-later"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+     'files (the "Software"), to deal in the Software without restriction', "mit"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+     "conditions are met:", "bsd-any"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+     "derived from this software", "bsd-3-clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("Attribution 4.0 International", "cc-by-4.0"),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License", "cc-by-nc-sa-3.0"),
+    ("Creative Commons Attribution-ShareAlike 4.0", "cc-by-sa-4.0"),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3.0-or-later"),
+    ("an attribution of the painting, provided by the museum", ""),
+    ("the general public", ""), ("apache helicopters", ""), ("submit or omit", ""),
+]
+
+
+def test_sentences_give_their_labels(spark):
+    assert found(spark, [t for t, _ in SENTENCES]) == [label for _, label in SENTENCES]
