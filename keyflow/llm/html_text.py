@@ -10,8 +10,9 @@ Elements that are never article text (menus, footers, asides, forms, scripts,
 adverts, notices, comments) are cut by tag, role or class name beforehand.
 
 One page is one row: no shuffle.  A null or empty page, or one without text,
-gives an empty text; repeated rows are extracted one by one; extra columns are
-ignored.
+gives an empty text; repeated rows are extracted one by one; of equally dense
+elements the first in page order is taken; pages of any length are read whole; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

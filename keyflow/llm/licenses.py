@@ -8,7 +8,9 @@ all their places and keep their labels whatever the rules say.
 
 All of it is column expressions on the row itself: no shuffle, no Python.
 Rows come out one for one, so repeated ids are safe.  A null or empty text has
-no words, no hits and score 0; extra columns are ignored.
+no words, no hits and score 0; of hits with the same words and priority the
+earlier rule's stays; texts of any length are scanned whole; an empty table gives
+no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

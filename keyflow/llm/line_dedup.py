@@ -20,8 +20,9 @@ it.  Matches are judged on the input, not on what is left.
 
 Column expressions only.  Lines without words, and rows without an id, are
 never removed; null and empty texts have one empty line; rows that repeat an
-id count as one document; an empty table gives an empty result; extra columns
-are kept by ``remove_lines``.
+id count as one document; of equal lines the earliest (id, then line) stays; texts
+and lines of any length are read whole; an empty table gives an empty result;
+extra columns are kept by ``remove_lines``.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ that holds them.  The plan says how many sequences get which lengths; Spark
 then hands the pieces of each length out by rank.
 
 Edge cases: a null or empty text is the closing id alone; repeated rows are
-packed as often as they occur; an empty table gives no rows; only ``doc_id``
-and ``text`` are read.
+packed as often as they occur; which of equally long pieces goes where is
+arbitrary; texts of any length are cut into pieces whole; an empty table gives no
+rows; only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ often each rule votes each way on good and on bad documents.  The posterior
 probability of "good" then replaces all-must-pass filtering.
 
 Edge cases: a null, empty or blank text has no words and fails the base rule;
-repeated rows are judged one by one; an empty table gives an empty result;
+repeated rows are judged one by one; a posterior of exactly one half keeps; texts
+of any length are counted whole; an empty table gives an empty result;
 extra columns are ignored by ``score_quality`` and kept by ``keep_good``.
 """
 

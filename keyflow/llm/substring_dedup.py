@@ -24,8 +24,9 @@ equal interior symbols.
 
 Edge cases: null, empty and blank texts have no words; texts under ``WINDOW``
 words lose nothing; rows that repeat an id count as one document (their texts
-lose the same places); rows without an id lose nothing; empty tables give no
-rows; extra columns are ignored.
+lose the same places); rows without an id lose nothing; of equal windows the
+earliest stays, so there are no ties; texts of any length are read whole; empty
+tables give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

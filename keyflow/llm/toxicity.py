@@ -13,7 +13,9 @@ language, source and id are no inputs.
 Edge cases: null and empty texts have no words and get the score of the bias;
 rows without a label, or held out, take no part in training; a row with
 several labels counts as toxic if one says so; without any labelled row the
-score is the smoothed prior; repeated rows are scored one by one.
+score is the smoothed prior; repeated rows are scored one by one; a score of
+exactly one half counts as toxic; texts of any length are scored whole; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
