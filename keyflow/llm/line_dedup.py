@@ -15,7 +15,9 @@ it.  Matches are judged on the input, not on what is left.
 4. Copies and near copies make long posting lists.  So each class is first
    held against the head of each of its tokens' lists, from the earliest document; only classes that
    this does not remove meet all earlier classes of their tokens.  That is
-   exact, and a group of near copies costs its size, not its square.
+   exact, and a group of near copies costs its size, not its square.  Posting
+   lists are never written whole: they are shuffled ``PARTS`` times, each time
+   those of some tokens.
 5. Candidates are verified on the full sets.
 
 Column expressions only.  Lines without words, and rows without an id, are
@@ -27,7 +29,9 @@ extra columns are kept by ``remove_lines``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, SPACE_RE, forget, save, save_bucketed, table, words
@@ -36,8 +40,8 @@ from .common import SPACE, SPACE_RE, forget, save, save_bucketed, table, words
 OVER, UNDER = 4, 5
 #: cells of the rarity table
 CELL_BITS = 16
-#: cells of the table that tells which classes may have been removed already
-CELLS = 1 << 20
+#: parts, a power of two, of the posting lists, by token; one part is on disk at a time
+PARTS = 4
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -116,34 +120,43 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(UNDER * inter >= OVER * (F.size("xtokens") + F.size("ytokens") - inter)).select("x").distinct()
 
 
-def removed_classes(sets: DataFrame) -> DataFrame:
-    """``x``: the id of every class whose earliest line matches an earlier line."""
+def _posted(sets: DataFrame, part: int) -> DataFrame:
+    """A row for each prefix token of each class, of the tokens of one part."""
     prefix = F.col("n") - F.ceil(F.col("n") * OVER / UNDER).cast("int") + 1
-    posted = sets.select("id", "doc_id", "n", "bits", "more", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
-    # one shuffle, written by token: list heads and both joins below read it in place
-    lists = save_bucketed(posted.repartition("token"), "token")
-    heads = lists.groupBy("token").agg(F.count("*").alias("many"), F.min(
-        F.struct("doc_id", "id", "n", "p", "bits", "more")).alias("head"))
-    heads = heads.filter("many > 1").select("token", *[F.col(f"head.{c}").alias(f"head_{c}") for c in ("id", "n", "p", "bits", "more")])
-
-    first = lists.join(heads.hint("shuffle_hash"), "token").filter((F.col("id") != F.col("head_id")) & _can_match("", "head_"))
-    found = early = save(_verified(first.select(F.col("id").alias("x"), F.col("head_id").alias("y")), sets))
-
-    # classes not removed so far; a bounded, broadcast table of hashed cells spares most of them the shuffle of an anti join
-    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS)).alias("cell")
-    gone = found.select(F.col("x").alias("id"))
-    marked = save(gone.select(cell).distinct())
-    cells = F.broadcast(marked)  # bounded: at most CELLS rows
-    keyed = lists.withColumn("cell", cell)
-    open_ = keyed.join(cells, "cell", "left_anti"), keyed.join(cells, "cell", "left_semi").join(gone, "id", "left_anti")
+    rows = sets.select("id", "doc_id", "n", "bits", "more", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("p", "token"))
+    return rows.filter(F.col("token").bitwiseAND(PARTS - 1) == part)
+
+
+def _head_pairs(sets: DataFrame, part: int) -> DataFrame:
+    """``x, y``: classes and the heads of their tokens' lists, if they can match."""
+    cols = ("id", "n", "p", "bits", "more")
+    by_token = Window.partitionBy("token").orderBy("doc_id", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _posted(sets, part).withColumn("head", F.first(F.struct(*cols)).over(by_token))
+    rows = rows.select(*cols, *[F.col(f"head.{c}").alias(f"head_{c}") for c in cols])
+    rows = rows.filter((F.col("id") != F.col("head_id")) & _can_match("", "head_"))
+    return rows.select(F.col("id").alias("x"), F.col("head_id").alias("y")).distinct()
+
+
+def _earlier_pairs(open_: DataFrame, sets: DataFrame, part: int) -> DataFrame:
+    """``x, y``: classes of ``open_`` and all earlier classes of their tokens' lists, if they can match."""
     cols = ("id", "doc_id", "n", "p", "bits", "more")
-    y = lists.select("token", *[F.col(c).alias(f"y{c}") for c in cols])
-    for part in open_:
-        x = part.select("token", *[F.col(c).alias(f"x{c}") for c in cols])
-        pairs = x.join(y, "token").filter((F.col("xid") != F.col("yid")) & (F.col("ydoc_id") <= F.col("xdoc_id")) & _can_match("x", "y"))
-        found = found.union(_verified(pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y")), sets))
-    out = save(found)
-    forget(lists, early, marked)
+    x = _posted(open_, part).select("token", *[F.col(c).alias(f"x{c}") for c in cols])
+    y = _posted(sets, part).select("token", *[F.col(c).alias(f"y{c}") for c in cols])
+    pairs = x.join(y, "token").filter((F.col("xid") != F.col("yid")) & (F.col("ydoc_id") <= F.col("xdoc_id")) & _can_match("x", "y"))
+    return pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y")).distinct()
+
+
+def removed_classes(sets: DataFrame) -> DataFrame:
+    """``x``: the id of every class whose earliest line matches an earlier line."""
+    # one part of the posting lists at a time, as a shuffle that is freed before the next; all heads come before all lists
+    heads = [save(_head_pairs(sets, part)) for part in range(PARTS)]
+    early = save(_verified(reduce(DataFrame.union, heads), sets))
+    forget(*heads)
+    # the classes lie bucketed by id, so this moves the removed ids only
+    open_ = sets.join(early.select(F.col("x").alias("id")).hint("shuffle_hash"), "id", "left_anti")
+    lists = [save(_earlier_pairs(open_, sets, part)) for part in range(PARTS)]
+    out = save(early.union(_verified(reduce(DataFrame.union, lists), sets)))
+    forget(early, *lists)
     return out
 
 
