@@ -44,6 +44,8 @@ from .common import save, table
 WINDOW, ROUNDS = 20, 2
 #: bytes of text within which a task drops windows it has seen
 CHUNK_BYTES = 4_000_000
+#: bytes of text hashed and parsed at a time (or one longer text)
+PART_BYTES = 500_000
 #: cells of the table that tells which documents have places at all; bounded, so it is broadcast
 CELLS = 1 << 18
 
@@ -128,6 +130,26 @@ def _seen(h: np.ndarray, at: np.ndarray, ids: np.ndarray, place: np.ndarray) ->
     return out
 
 
+def _keyed(data: np.ndarray, edges: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Word hashes of a chunk of texts, where each text's words begin; key, hash and place of its windows.
+
+    The texts are hashed and parsed ``PART_BYTES`` at a time: their words and
+    windows take little room, but the work on every byte of them much more.
+    """
+    hashes, begin, windows = [np.empty(0, _U)], [np.zeros(1, np.int64)], [(np.empty(0, _U), np.empty(0, _U), np.empty(0, np.int64))]
+    at = words = 0
+    while at < len(edges) - 1:
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + PART_BYTES, "right")) - 1)
+        w = tokens.Words(data[edges[at]:edges[to]], edges[at:to + 1] - edges[at], tokens.IS_SPACE_WORD, tokens.SAME)
+        key, h, place = window_keys(w, size)
+        hashes.append(w.hash)
+        begin.append(w.first[1:] + words)
+        windows.append((key, h, place + words))
+        words += len(w.hash)
+        at = to
+    return (np.concatenate(hashes), np.concatenate(begin), *(np.concatenate(x) for x in zip(*windows, strict=True)))
+
+
 def _stretches(at: np.ndarray, text: np.ndarray, key: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Positions, in the arrays, of the first and last of each run of neighbouring windows under one key."""
     new = (np.diff(at) != 1) | (np.diff(text) != 0)
@@ -142,12 +164,12 @@ def segments(docs: DataFrame, size: int = WINDOW, chunk: int = CHUNK_BYTES) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for first, _, w in tokens.words_of(batch.column(1), limit=chunk):
-                key, h, at = window_keys(w, size)
+            for first, _, data, edges in tokens.parts(batch.column(1), chunk):
+                hashes, begin, key, h, at = _keyed(data, edges, size)
                 if not len(at):
                     continue
-                text = np.searchsorted(w.first, at, "right") - 1
-                place = at - w.first[text]
+                text = np.searchsorted(begin, at, "right") - 1
+                place = at - begin[text]
                 doc = ids[first + text]
                 gone = _seen(h, at, doc, place)
                 for part, known in ((gone, True), (~gone, False)):
@@ -158,7 +180,7 @@ def segments(docs: DataFrame, size: int = WINDOW, chunk: int = CHUNK_BYTES) -> D
                     a, b = p[a], p[b]
                     n = at[b] - at[a] + 1
                     nulls = np.full(len(a), known)
-                    stretch = tokens.runs(w.hash, at[a], at[b] + size, seed=2)
+                    stretch = tokens.runs(hashes, at[a], at[b] + size, seed=2)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(key[a].view(np.int64), mask=nulls), pa.array(stretch.view(np.int64), mask=nulls),
                         pa.array(doc[a].astype(np.int64)), pa.array(place[a].astype(np.int32)),
@@ -210,7 +232,7 @@ def repeats(docs: DataFrame, size: int = WINDOW, chunk: int = CHUNK_BYTES) -> Da
         for batch in batches:
             places = batch.column(2).to_pylist()
             ids = batch.column(0).to_numpy()
-            for first, _, w in tokens.words_of(batch.column(1)):
+            for first, _, w in tokens.words_of(batch.column(1), limit=PART_BYTES):
                 h, at = tokens.windows(w.hash, w.first, size, seed=3)
                 g, _ = tokens.windows(w.hash, w.first, size, seed=4)
                 text = np.searchsorted(w.first, at, "right") - 1

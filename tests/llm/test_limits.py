@@ -1,8 +1,13 @@
 """What the text operators hold at a time: on disk, in a worker, as rows."""
 
+import tracemalloc
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from keyflow.llm import line_dedup
+from keyflow.llm import line_dedup, substring_dedup, tokens
 
 
 def lines(spark, n=300):
@@ -32,3 +37,41 @@ def test_parts_hold_every_posting_once(spark):
     whole = sets.select(F.sum(F.col("n") - F.ceil(F.col("n") * 0.8).cast("int") + 1)).first()[0]
     sizes = [line_dedup._posted(sets, part).count() for part in range(line_dedup.PARTS)]
     assert sum(sizes) == whole and max(sizes) < whole / 2
+
+
+def texts(n):
+    rng = np.random.default_rng(3)
+    made = [" ".join(f"{x:x}" for x in rng.integers(0, 1 << 20, 200)) for _ in range(n)]
+    return [None, "", *made, *made[:n // 9], " ".join(made[:n // 5])]
+
+
+def test_a_chunk_in_parts_equals_the_chunk(monkeypatch):
+    _, _, data, edges = next(tokens.parts(pa.array(texts(60)), 1 << 30))
+    whole = substring_dedup._keyed(data, edges, 20)
+    monkeypatch.setattr(substring_dedup, "PART_BYTES", 3000)
+    for a, b in zip(whole, substring_dedup._keyed(data, edges, 20), strict=True):
+        assert np.array_equal(a, b)
+
+
+def test_a_task_holds_little_beside_its_texts():
+    """One batch of texts through the first step of substring dedup, without Spark."""
+    column = SimpleNamespace()
+    column.cast = column.alias = lambda *_: column
+    column.select = column.filter = lambda *_: column
+    column.mapInArrow = lambda run, _: run
+
+    class Docs(dict):
+        def __missing__(self, name):
+            return column
+
+        select = column.select
+
+    made = texts(2800)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(made)), pa.int64()), pa.array(made)], ["doc_id", "text"])
+    run = substring_dedup.segments(Docs())
+    tokens._grow(1 << 23)  # kept from then on, so not counted
+    tracemalloc.start()
+    found = sum(b.num_rows for b in run(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and most < 100e6, most
