@@ -14,7 +14,8 @@ none of the 32 bands with a chance of about 5e-11 (at 0.8, 6e-9).
    pairs across components (never within one) whose register estimate,
    corrected for chance collisions, comes within five standard errors of the
    threshold are confirmed too.  Large keys are compared block by block
-   inside tasks, so that pairs are never laid out as rows.
+   inside tasks, also by the lower bits of their full sets, so that only pairs
+   that are almost surely links are laid out as rows.
 
 Edge cases: null, empty or blank texts have an empty set and are linked with
 nothing; texts shorter than a shingle are one shingle as a whole; rows that
@@ -27,22 +28,26 @@ extra columns are kept by ``keep_one``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import forget, save, table
+from .chunks import gather
+from .common import forget, save, save_bucketed, table
 from .graph import components
 
 BUCKETS, BAND, MANTISSA = 128, 4, 10
 EMPTY = -1
-#: a band key with more members is compared inside tasks, in blocks of at most so many
+#: a band key with more members is compared inside tasks, in blocks of about so many
 FEW, BLOCK = 32, 1000
+#: parts, a power of two, of the band keys that are searched through; the rows of one part are on disk at a time
+PARTS = 4
 STANDARD_ERRORS = 5.0
 FILTER_BITS = 1 << 22
 
@@ -127,13 +132,28 @@ def _full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return sets.join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
+def _low(hashes: str) -> Column:
+    """The distinct lower 16 bits of the hashes."""
+    return F.array_distinct(F.transform(hashes, lambda h: F.shiftright(F.shiftleft(h, 48), 48).cast("short")))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``x, y`` whose full sets are alike enough."""
-    a = sets.select(F.col("id").alias("x"), F.col("hashes").alias("a"))
-    b = sets.select(F.col("id").alias("y"), F.col("hashes").alias("b"))
-    inter = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - inter
-    return pairs.join(a, "x").join(b, "y").filter(100 * inter >= percent * union).select("x", "y")
+    """The pairs ``x, y`` whose full sets are alike enough.
+
+    First by the hashes' lower bits: common hashes have common lower bits, and
+    only as many can share them as a set has more hashes than lower bits.  The
+    few pairs that this leaves are looked at in full.
+    """
+    def with_both(pairs: DataFrame, *cols: str) -> DataFrame:
+        for side in ("x", "y"):
+            pairs = pairs.join(sets.select(F.col("id").alias(side), *[F.col(c).alias(side + c) for c in cols]), side)
+        return pairs
+
+    most = F.size(F.array_intersect("xlow", "ylow")) + F.least(F.col("xn") - F.size("xlow"), F.col("yn") - F.size("ylow"))
+    able = with_both(pairs, "n", "low").filter(100 * most >= percent * (F.col("xn") + F.col("yn") - most)).select("x", "y")
+    inter = F.size(F.array_intersect("xhashes", "yhashes"))
+    union = F.size("xhashes") + F.size("yhashes") - inter
+    return with_both(able, "hashes").filter(100 * inter >= percent * union).select("x", "y")
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -157,15 +177,15 @@ def _first_band(a: Column, b: Column) -> Column:
     return F.array_position(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS // BAND - 1)), agrees), True) - 1
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs between components of the same band key.
 
-    ``members``: ``key, band, id, component, n, regs``, of keys with several
+    ``members``: ``key, band, many, id, component, n``, of keys with several
     components.  A pair is taken up in the first band that it shares only.
     """
     t = percent / 100
-    sized = members.withColumn("many", F.count("*").over(Window.partitionBy("key")))
-    few = sized.filter(F.col("many") <= FEW)
+    regs = classes.select("id", "regs")
+    few = members.filter(F.col("many") <= FEW).join(regs, "id")
     cols = ("id", "component", "n", "regs")
     n_bands = BUCKETS // BAND
     x = few.select("key", "band", *[F.col(c).alias(f"x{c}") for c in cols])
@@ -177,34 +197,43 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
                                     & (_first_band(F.col("xregs"), F.col("yregs")) == F.col("band")))
     pairs = pairs.select(F.col("xid").alias("x"), F.col("yid").alias("y"))
 
-    # larger keys: members in order of component, cut into blocks; every pair of blocks is one group
-    order = Window.partitionBy("key").orderBy("component", "id")
-    many = sized.filter(F.col("many") > FEW).withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
-    last = F.floor((F.col("many") - 1) / BLOCK).cast("int")
-    other = F.explode(F.sequence(F.lit(0), last)).alias("other")
-    many = many.select("key", "band", *cols, "block", other).select(
-        "key", "band", *cols, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
+    # larger keys: members dealt over blocks by a hash; every pair of blocks is one group
+    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
+    many = members.filter(F.col("many") > FEW).join(regs, "id").join(sets.select("id", "low"), "id")
+    many = many.select("key", "band", *cols, "low", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"),
+                       F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    many = many.select("key", "band", *cols, "low", F.least("block", "other").alias("i"),
+                       F.greatest("block", "other").alias("j"), "block")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         a = pdf[pdf["block"] == pdf["i"].iloc[0]]
         b = pdf[pdf["block"] == pdf["j"].iloc[0]]
         out = []
-        if len(a) and len(b) and not (a["component"].nunique() == 1 == b["component"].nunique()
-                                      and a["component"].iloc[0] == b["component"].iloc[0]):
-            rb = np.stack(b["regs"].to_list())
-            band = int(pdf["band"].iloc[0])
-            for id_, comp, n, regs in zip(a["id"], a["component"], a["n"], a["regs"], strict=True):
-                regs = np.asarray(regs)
-                m = b["n"].to_numpy()
-                ok = (b["component"].to_numpy() != comp) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                used_ = np.maximum(1, ((rb != EMPTY) | (regs != EMPTY)).sum(axis=1))
-                same = ((rb == regs) & (regs != EMPTY)).sum(axis=1)
+        if len(a) and len(b):
+            rb, band = np.stack(b["regs"].to_list()), int(pdf["band"].iloc[0])
+            ids, components_, m = (b[c].to_numpy() for c in ("id", "component", "n"))
+            low = np.concatenate(b["low"].to_list()).view(np.uint16)
+            size = b["low"].str.len().to_numpy()
+            start = np.cumsum(size) - size
+            mine = np.zeros(1 << 16, bool)
+            for id_, comp, n, regs, own in zip(a["id"], a["component"], a["n"], a["regs"], a["low"], strict=True):
+                k = np.flatnonzero((components_ != comp) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+                regs, rk = np.asarray(regs), rb[k]
+                used_ = np.maximum(1, ((rk != EMPTY) | (regs != EMPTY)).sum(axis=1))
+                same = ((rk == regs) & (regs != EMPTY)).sum(axis=1)
                 chance = 0.4 / (1 << MANTISSA)
-                ok &= (same / used_ - chance) / (1 - chance) >= t - STANDARD_ERRORS * np.sqrt(t * (1 - t) / used_)
-                bands = ((rb == regs).reshape(len(rb), n_bands, BAND).all(axis=2)
+                ok = (same / used_ - chance) / (1 - chance) >= t - STANDARD_ERRORS * np.sqrt(t * (1 - t) / used_)
+                bands = ((rk == regs).reshape(len(rk), n_bands, BAND).all(axis=2)
                          & (regs != EMPTY).reshape(n_bands, BAND).any(axis=1))
-                ok &= bands.argmax(axis=1) == band
-                out += [(max(id_, k), min(id_, k)) for k in b["id"].to_numpy()[ok] if k != id_]
+                k = k[ok & (bands.argmax(axis=1) == band)]
+                # the most hashes that both can hold, as in _confirmed
+                mine[own.view(np.uint16)] = True
+                hits = np.concatenate(([0], np.cumsum(mine[gather(low, start[k], size[k])])))
+                mine[own.view(np.uint16)] = False
+                ends = np.cumsum(size[k])
+                most = hits[ends] - hits[ends - size[k]] + np.minimum(n - len(own), m[k] - size[k])
+                k = k[100 * most >= percent * (n + m[k] - most)]
+                out += [(max(id_, y), min(id_, y)) for y in ids[k]]
         return pd.DataFrame(sorted(set(out)), columns=["x", "y"]).astype("int64")
 
     blocks = many.groupBy("key", "i", "j").applyInPandas(compare, "x long, y long")
@@ -225,20 +254,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     keys = classes.select("id", "n", F.explode(bands).alias("b")).select(
         "id", "n", F.col("b.i").alias("band"), F.xxhash64("b.i", "b.r").alias("key"))
     heads = keys.groupBy("key").agg(F.count("*").alias("many"), F.min(F.struct("id", "n")).alias("head")).filter("many > 1")
-    shared = save(keys.join(heads, "key").select("key", "band", "id", "n", F.col("head.id").alias("head"), F.col("head.n").alias("head_n")))
+    shared = save(keys.join(heads, "key").select(
+        "key", "band", "many", "id", "n", F.col("head.id").alias("head"), F.col("head.n").alias("head_n")))
 
-    sets = save(_full_sets(docs, shared.select("id").distinct(), size))
+    sets = _full_sets(docs, shared.select("id").distinct(), size)
+    sets = save_bucketed(sets.select("id", "hashes", F.size("hashes").alias("n"), _low("hashes").alias("low")), "id")
     stars = shared.filter((F.col("id") != F.col("head")) & _sizes_fit("n", "head_n", percent)).select(
         F.col("id").alias("x"), F.col("head").alias("y")).distinct()
     links = save(_confirmed(stars, sets, percent))
     first = components(links)
 
-    placed = shared.select("key", "band", "id", "n").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    members = placed.join(open_keys.select("key"), "key", "left_semi").join(classes.select("id", "regs"), "id")
-    across = save(_across(members, percent))
+    found = []
+    for part in range(PARTS):
+        some = shared.filter(F.col("key").bitwiseAND(PARTS - 1) == part).select("key", "band", "many", "id", "n")
+        placed = some.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+        found.append(save(_across(placed.join(open_keys.select("key"), "key", "left_semi"), classes, sets, percent)))
+    across = reduce(DataFrame.union, found).distinct()
     every = save(links.union(_confirmed(across, sets, percent)))
-    forget(shared, sets, across)
+    forget(shared, sets, *found)
     final = components(every)
     forget(every)
 

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from keyflow.llm import line_dedup, substring_dedup, tokens
+from keyflow.llm import line_dedup, near_dup, substring_dedup, tokens
 
 
 def lines(spark, n=300):
@@ -75,3 +75,39 @@ def test_a_task_holds_little_beside_its_texts():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found and most < 100e6, most
+
+
+def test_near_copies_under_the_threshold_make_no_rows(spark, monkeypatch):
+    """Every pair of a large group of near copies would be a candidate by registers; nearly none by its full sets."""
+    rng = np.random.default_rng(5)
+    base = [f"b{k}" for k in range(600)]
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in rng.choice(600, 13, replace=False):
+            w[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, rows[i][1] + " more") for i in (3, 50)]
+    made, across = [], near_dup._across
+
+    def counted(*args):
+        out = near_dup.save(across(*args))
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "FEW", 2)
+    monkeypatch.setattr(near_dup, "BLOCK", 30)
+    monkeypatch.setattr(near_dup, "_across", counted)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - 100 if i >= 100 else i for i, _ in rows}
+    assert sum(made) < 2 * len(rows), made
+
+
+def test_lower_bits_never_hide_a_link(spark):
+    """Sets whose hashes mostly share their lower bits are still linked, and only by their full hashes."""
+    one = [k << 16 for k in range(100)]
+    rows = [(1, one), (2, one[:90]), (3, one[:80]), (4, [(k + 500) << 16 for k in range(100)])]
+    sets = spark.createDataFrame(rows, "id long, hashes array<long>")
+    sets = sets.select("id", "hashes", F.size("hashes").alias("n"), near_dup._low("hashes").alias("low"))
+    pairs = spark.createDataFrame([(2, 1), (3, 1), (4, 1), (3, 2)], "x long, y long")
+    assert {tuple(r) for r in near_dup._confirmed(pairs, sets, 85).collect()} == {(2, 1), (3, 2)}
