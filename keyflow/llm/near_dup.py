@@ -50,11 +50,13 @@ FEW, BLOCK = 32, 1000
 PARTS = 4
 STANDARD_ERRORS = 5.0
 FILTER_BITS = 1 << 22
+#: bytes of text hashed at a time (or one longer text); a worker holds some hundred bytes for each
+CHUNK_BYTES = 250_000
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices ``from, to`` of a text column with the distinct shingles of its texts: text, hash, in this order."""
-    for at, to, w in tokens.words_of(column, tokens.IS_SPACE_WORD, tokens.LOWER):
+    for at, to, w in tokens.words_of(column, tokens.IS_SPACE_WORD, tokens.LOWER, CHUNK_BYTES):
         h, place = tokens.windows(w.hash, w.first, size)
         text = np.searchsorted(w.first, place, "right") - 1
         n = np.diff(w.first)
