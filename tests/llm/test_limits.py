@@ -39,6 +39,36 @@ def test_parts_hold_every_posting_once(spark):
     assert sum(sizes) == whole and max(sizes) < whole / 2
 
 
+def pair_rows(monkeypatch, docs):
+    """Removed lines of ``docs``, and how many rows of class pairs are written on the way."""
+    made, save = [], line_dedup.save
+
+    def counted(df):
+        out = save(df)
+        made.append(out.count() if out.columns == ["x", "y"] else 0)
+        return out
+
+    monkeypatch.setattr(line_dedup, "save", counted)
+    return line_dedup.removed_lines(docs).collect(), sum(made)
+
+
+def test_near_lines_under_the_threshold_make_few_pairs(spark, monkeypatch):
+    """Lines of one pattern, each pair at a similarity of about 0.72, meet at many tokens; few of them become rows."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(300):
+        w = [f"b{k}" for k in range(60)]
+        for k in rng.choice(60, 5, replace=False):
+            w[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, rows[i][1] + " more") for i in (3, 250)]
+    got, made = pair_rows(monkeypatch, spark.createDataFrame(rows, "doc_id long, text string"))
+    sets = [(i, set(t.split())) for i, t in rows]
+    want = {i for n, (i, a) in enumerate(sets) if any(5 * len(a & b) >= 4 * len(a | b) for _, b in sets[:n])}
+    assert {r["doc_id"] for r in got} == want and {1003, 1250} <= want
+    assert made < 8 * len(rows), made  # of 45,000 pairs
+
+
 def texts(n):
     rng = np.random.default_rng(3)
     made = [" ".join(f"{x:x}" for x in rng.integers(0, 1 << 20, 200)) for _ in range(n)]
