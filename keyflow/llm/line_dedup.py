@@ -11,7 +11,7 @@ it.  Matches are judged on the input, not on what is left.
 2. Lines with equal sets form a class, kept by its earliest line.
 3. Prefix filter: sets that match share one of their rarest tokens, so classes
    meet in a join on prefix tokens only, the smaller set by fewer of them, under
-   the length and positional filters and 256 parities of each set, which bound
+   the length and positional filters and 192 parities of each set, which bound
    how many tokens they share.
 4. Copies and near copies make long posting lists.  So each class is first
    held against the head of each of its tokens' lists, from the earliest document; only classes that
@@ -43,8 +43,8 @@ OVER, UNDER = 4, 5
 CELL_BITS = 16
 #: parts, a power of two, of the posting lists, by token; one part is on disk at a time
 PARTS = 4
-#: longs of 64 parities each, a power of two
-LONGS = 4
+#: longs of 64 parities each that posting lists carry
+LONGS = 3
 
 
 def _spaced(text: Column) -> Column:
@@ -96,7 +96,7 @@ def classes(docs: DataFrame) -> DataFrame:
 def _parities(sets: DataFrame) -> DataFrame:
     """``id, b0, b1, ...``: for each of 64 cells a long, whether an odd number of the set's tokens fall into it."""
     one = sets.select("id", F.explode("tokens").alias("t"))
-    which, bit = F.shiftright("t", 6).bitwiseAND(LONGS - 1), F.expr("shiftleft(1L, t & 63)")
+    which, bit = F.pmod(F.shiftright("t", 6), F.lit(LONGS)), F.expr("shiftleft(1L, t & 63)")
     return one.groupBy("id").agg(*[F.bit_xor(F.when(which == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{k}")
                                    for k in range(LONGS)])
 
@@ -203,7 +203,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     sets = classes(docs)
     dead = removed_classes(sets).withColumnRenamed("x", "id").hint("shuffle_hash")
     kept = sets.select("id", "doc_id", "line_no").join(dead, "id", "left_anti")
-    kept = kept.groupBy("doc_id").agg(F.collect_list("line_no").alias("kept"))
+    # dealt by document first: its lines lie apart, so there is nothing to gather before
+    kept = kept.select("doc_id", "line_no").repartition("doc_id").groupBy("doc_id").agg(F.collect_list("line_no").alias("kept"))
     full = F.array_compact(F.transform(F.split("t", "\n"), lambda x, i: F.when(F.trim(x, F.lit(SPACE)) != "", i)))
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("t")).filter("doc_id IS NOT NULL")
     rows = rows.groupBy("doc_id").agg(F.flatten(F.collect_set(full)).alias("full"))

@@ -69,6 +69,32 @@ def test_near_lines_under_the_threshold_make_few_pairs(spark, monkeypatch):
     assert made < 8 * len(rows), made  # of 45,000 pairs
 
 
+def test_candidates_alone_are_moved_to_be_verified(spark):
+    """The classes lie bucketed by id: verification neither sorts them nor moves them, only pairs."""
+    sets = line_dedup.classes(lines(spark))
+    pairs = spark.createDataFrame([(1, 2)], "x long, y long")
+    plan = line_dedup._verified(pairs, sets)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Sort [" not in plan, plan
+
+
+def test_shorter_prefixes_lose_no_match(spark):
+    """Lines of 1 to 40 words with a few words more, less or other, and all kinds of white space, against all pairs."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(160):
+        w = [f"c{k}" for k in rng.choice(60, rng.integers(1, 41), replace=False)]
+        rows.append((len(rows), " \t\x0b\f\r"[i % 5].join(w) + "  "))
+        for _ in range(2):
+            v = w[rng.integers(0, len(w) // 4 + 1):] + [f"d{k}" for k in rng.choice(30, rng.integers(0, 5), replace=False)]
+            rows.append((len(rows), "\x0b " + "  ".join(v) + "\n \t"))
+    order = rng.permutation(len(rows))
+    rows = [(int(order[i]), t) for i, t in rows]
+    sets = [(i, set(t.split())) for i, t in sorted(rows)]
+    want = {i: [0] for n, (i, a) in enumerate(sets) if any(5 * len(a & b) >= 4 * len(a | b) for _, b in sets[:n])}
+    got = line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["lines"] for r in got} == want and 100 < len(want) < len(rows) - 100
+
+
 def texts(n):
     rng = np.random.default_rng(3)
     made = [" ".join(f"{x:x}" for x in rng.integers(0, 1 << 20, 200)) for _ in range(n)]
