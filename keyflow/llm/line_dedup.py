@@ -30,6 +30,7 @@ extra columns are kept by ``remove_lines``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -145,9 +146,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select(F.when(later, F.col("x")).otherwise(F.col("y")).alias("x")).distinct()
 
 
-def _posted(sets: DataFrame, part: int, *cols: str) -> DataFrame:
+def _posted(sets: DataFrame, part: int, *cols: str, length: Callable[[Column], Column] = _prefix) -> DataFrame:
     """A row for each prefix token of each class, of the tokens of one part."""
-    prefix = F.slice("tokens", F.lit(1), _prefix(F.col("n")))
+    prefix = F.slice("tokens", F.lit(1), length(F.col("n")))
     rows = sets.select("id", "doc_id", "n", *cols, F.posexplode(prefix).alias("p", "token"))
     return rows.filter(F.col("token").bitwiseAND(PARTS - 1) == part)
 
@@ -160,8 +161,7 @@ def _head_pairs(filed: DataFrame, part: int) -> DataFrame:
     """``x, y``: classes and the heads of their tokens' lists, if they can match."""
     cols = ("id", "n", "p", *BITS)
     by_token = Window.partitionBy("token").orderBy("doc_id", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = _posted(filed, part, *BITS).filter(F.col("p") < _short(F.col("n")))
-    rows = rows.withColumn("head", F.first(F.struct(*cols)).over(by_token))
+    rows = _posted(filed, part, *BITS, length=_short).withColumn("head", F.first(F.struct(*cols)).over(by_token))
     rows = rows.select(*cols, *[F.col(f"head.{c}").alias(f"head_{c}") for c in cols])
     rows = rows.filter((F.col("id") != F.col("head_id")) & _can_match("", "head_", F.least("p", "head_p")))
     return rows.select(F.col("id").alias("x"), F.col("head_id").alias("y"))
@@ -173,9 +173,8 @@ def _list_pairs(filed: DataFrame, part: int) -> DataFrame:
     A pair that matches passes at the first token that its sets share.
     """
     cols = ("id", "doc_id", "n", "p", "open", *BITS)
-    rows = _posted(filed, part, "open", *BITS)
-    x = rows.select("token", *[F.col(c).alias(f"x{c}") for c in cols])
-    y = rows.filter(F.col("p") < _short(F.col("n"))).select("token", *[F.col(c).alias(f"y{c}") for c in cols])
+    x = _posted(filed, part, "open", *BITS).select("token", *[F.col(c).alias(f"x{c}") for c in cols])
+    y = _posted(filed, part, "open", *BITS, length=_short).select("token", *[F.col(c).alias(f"y{c}") for c in cols])
     larger = (F.col("xn") > F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("xid") < F.col("yid")))
     later = (F.col("xopen") & (F.col("ydoc_id") <= F.col("xdoc_id"))) | (F.col("yopen") & (F.col("xdoc_id") <= F.col("ydoc_id")))
     pairs = x.join(y, "token").filter(larger & later & _can_match("x", "y", F.lit(0)))
